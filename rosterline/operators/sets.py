@@ -36,7 +36,7 @@ def flatten_membership(edges: DataFrame, roots: DataFrame, leaves_only: bool = T
     new (root, member) pairs with the edges and keeps pairs not seen before;
     rounds are staged on shared storage so that the plan stays short.
     """
-    edges = edges.select("parent", "member").distinct()
+    edges = stage(edges.select("parent", "member").distinct())
     step = roots.select("root", F.col("root").alias("member")).distinct()
     seen = stage(step)
     frontier = seen
