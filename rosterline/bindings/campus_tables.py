@@ -98,7 +98,7 @@ DERIVED: dict[str, str] = {
     "DEGREQEVENT": f"SELECT {YEAR} AS MATRIC_YEAR, {TERM} AS MATRIC_TERM, 'BS' AS CURRICULUM, lpad(CAST(l_suppkey AS STRING), 9, '0') AS EVENT_ID FROM {{lineitem}} JOIN {{orders}} ON o_orderkey = l_orderkey WHERE l_quantity > 45",
     "CartSection": "SELECT DISTINCT cust AS PersonId, " + SID + " AS SectionId FROM {LINE} WHERE prio = '1-URGENT' AND st = 'O'",
     "PEOPLE": f"""SELECT c_custkey AS PersonId, {number('c_custkey')} AS PEOPLE_ID, {person('c_custkey')} AS PEOPLE_CODE_ID, c_mktsegment AS FIRST_NAME, c_name AS LAST_NAME,
-      CAST(NULL AS STRING) AS PREFIX, CAST(NULL AS STRING) AS SUFFIX, DATE '1970-01-01' + CAST(floor(c_acctbal) AS INT) AS BIRTH_DATE,
+      CAST(NULL AS STRING) AS PREFIX, CAST(NULL AS STRING) AS SUFFIX, DATE '1970-10-15' + CAST(floor(c_acctbal / 100) AS INT) AS BIRTH_DATE,
       CASE WHEN c_acctbal >= 0 THEN c_custkey END AS PrimaryEmailId, phone AS PrimaryPhoneId
       FROM {{customer}} LEFT JOIN (SELECT o_custkey, max(o_orderkey) AS phone FROM {{orders}} GROUP BY o_custkey) p ON o_custkey = c_custkey
       UNION ALL SELECT 900000000000 + s_suppkey, '9' || lpad(CAST(s_suppkey AS STRING), 8, '0'), {instructor('s_suppkey')}, 'Pat', s_name, 'Dr.',
