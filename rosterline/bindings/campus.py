@@ -653,7 +653,7 @@ def correct_identity(t):
 
 # ---------------------------------------------------------------- notices
 
-MISSING = f"""missing AS (SELECT {', '.join('td.' + c for c in KEY6.split(', '))}, CALENDAR_DATE, s.CURRICULUM, count(DISTINCT td.PEOPLE_CODE_ID) AS Missing
+MISSING = f"""missing AS (SELECT {', '.join('td.' + c for c in KEY6.split(', '))}, CALENDAR_KEY, CALENDAR_DATE, s.CURRICULUM, count(DISTINCT td.PEOPLE_CODE_ID) AS Missing
 FROM TRANSCRIPTDETAIL td JOIN cur ON td.ACADEMIC_YEAR = cy AND td.ACADEMIC_TERM = ct JOIN ACADEMIC a ON a.PEOPLE_CODE_ID = td.PEOPLE_CODE_ID AND a.ACADEMIC_YEAR = td.ACADEMIC_YEAR AND a.ACADEMIC_TERM = td.ACADEMIC_TERM
   AND a.ACADEMIC_SESSION = td.ACADEMIC_SESSION AND ENROLL_SEPARATION = 'ENRL' JOIN SECTIONS s ON s.ACADEMIC_YEAR = td.ACADEMIC_YEAR AND s.ACADEMIC_TERM = td.ACADEMIC_TERM AND s.ACADEMIC_SESSION = td.ACADEMIC_SESSION
   AND s.EVENT_ID = td.EVENT_ID AND s.EVENT_SUB_TYPE = td.EVENT_SUB_TYPE AND s.SECTION = td.SECTION AND s.EVENT_STATUS = 'A'
@@ -709,8 +709,8 @@ def table_sql(titles: str, rows: str, empty: str) -> str:
     return f"""'<table class="merged"><thead><tr>{heads}</tr></thead><tbody>' || coalesce(({rows}), '{empty}') || '</tbody></table>'"""
 
 
-COURSE_ROWS = "SELECT string_agg('<tr><td>' || EVENT_ID || ': ' || replace(EVENT_LONG_NAME, '&', '&amp;') || '</td><td>' || SECTION || '</td></tr>', '' ORDER BY EVENT_ID, SECTION, EVENT_LONG_NAME) FROM {src} x WHERE x.PEOPLE_ID = a.PEOPLE_ID"
-SYNC_ROWS = """SELECT string_agg('<tr><td>' || EVENT_ID || ': ' || replace(EVENT_LONG_NAME, '&', '&amp;') || '</td><td>' || SECTION || '</td><td>' || strftime(CALENDAR_DATE, '%a %m/%d') || '</td><td>' || strftime(START_TIME, '%-I:%M %p') || ' - ' || strftime(END_TIME, '%-I:%M %p')
+COURSE_ROWS = "SELECT string_agg('<tr><td>' || EVENT_ID || ': ' || replace(replace(replace(EVENT_LONG_NAME, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</td><td>' || SECTION || '</td></tr>', '' ORDER BY EVENT_ID, SECTION, EVENT_LONG_NAME) FROM {src} x WHERE x.PEOPLE_ID = a.PEOPLE_ID"
+SYNC_ROWS = """SELECT string_agg('<tr><td>' || EVENT_ID || ': ' || replace(replace(replace(EVENT_LONG_NAME, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</td><td>' || SECTION || '</td><td>' || strftime(CALENDAR_DATE, '%a %m/%d') || '</td><td>' || strftime(START_TIME, '%-I:%M %p') || ' - ' || strftime(END_TIME, '%-I:%M %p')
  || '</td><td>' || CASE BUILDING_CODE WHEN 'ONLINE' THEN 'Online' ELSE 'Unknown' END || '</td><td>' || CASE ROOM_ID WHEN 'ZOOM' THEN 'Zoom' WHEN 'ONLINE' THEN 'Online' ELSE ROOM_ID END || '</td></tr>', '' ORDER BY CALENDAR_DATE, START_TIME, EVENT_ID, SECTION) FROM sync x WHERE x.PEOPLE_ID = a.PEOPLE_ID"""
 
 

@@ -32,7 +32,7 @@ def rows_of(table):
 
 def compare(df, con, sql: str) -> list[str]:
     """Differences between a Spark result and the oracle's, empty when equal."""
-    ours, theirs = df.toArrow(), con.execute(sql).to_arrow_table()
+    ours, theirs = df.toArrow(), con.sql(sql).to_arrow_table()
     names, a = rows_of(ours)
     other, b = rows_of(theirs)
     problems = []
