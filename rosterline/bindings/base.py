@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import prepare
 from ..sources.registry import TableRegistry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,7 +22,7 @@ class Tables:
     """The given tables of one scale factor, read on first use."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = prepare(spark), path
         self.registry = TableRegistry(spark, {"main": path})
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..models.campus import SCHEMAS
+from ..session import prepare
 from ..sources.registry import TableRegistry
 
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
@@ -60,14 +61,17 @@ DERIVED: dict[str, str] = {
       CASE WHEN prio = '2-HIGH' THEN '002' ELSE '001' END AS TRANSCRIPT_SEQ, 'Med ' || CAST(s AS STRING) AS EVENT_MED_NAME, 'Long & ' || CAST(s AS STRING) AS EVENT_LONG_NAME,
       CASE WHEN disc >= 0.05 THEN 'X' ELSE 'C' END AS CREDIT_TYPE, q AS CREDIT, CASE WHEN q < 4 THEN 'W' WHEN q < 7 THEN NULL ELSE 'B' END AS FINAL_GRADE,
       CASE WHEN disc >= 0.09 THEN 'D' ELSE 'A' END AS ADD_DROP_WAIT, ship AS STATUS_DATE FROM {{LINE}}""",
-    "ACADEMIC": f"""SELECT {number('cust')} AS PEOPLE_ID, {person('cust')} AS PEOPLE_CODE_ID, y AS ACADEMIC_YEAR, term AS ACADEMIC_TERM, session AS ACADEMIC_SESSION,
+    "RECORD": f"""SELECT o_custkey AS cust, {YEAR} AS y, {TERM} AS term, min(o_orderpriority) AS program, min(o_orderstatus) AS degree,
+      max(o_orderpriority) AS curriculum, max(o_totalprice) AS price, count(*) AS n FROM {{orders}} GROUP BY o_custkey, {YEAR}, {TERM}""",
+    "ACADEMIC": " UNION ALL ".join(
+        f"""SELECT {number('cust')} AS PEOPLE_ID, {person('cust')} AS PEOPLE_CODE_ID, y AS ACADEMIC_YEAR, term AS ACADEMIC_TERM, '{session}' AS ACADEMIC_SESSION,
       '001' AS TRANSCRIPT_SEQ, program AS PROGRAM, degree AS DEGREE, curriculum AS CURRICULUM, 'DEP' AS DEPARTMENT, n AS CREDITS,
       CASE WHEN price < 60000 THEN 'WITH' WHEN price < 90000 THEN NULL ELSE 'ENRL' END AS ENROLL_SEPARATION, 'F' AS FULL_PART,
       CASE WHEN degree = 'P' THEN 'N' ELSE 'A' END AS STATUS, CASE WHEN program = '4-NOT SPECIFIED' THEN 'N' ELSE 'Y' END AS PRIMARY_FLAG, 'Y' AS ACADEMIC_FLAG,
       CASE WHEN degree = 'O' AND curriculum = '5-LOW' THEN 'G' ELSE 'N' END AS GRADUATED, CASE WHEN program = '3-MEDIUM' THEN 'LDRHS' END AS NONTRAD_PROGRAM
-      FROM (SELECT o_custkey AS cust, {YEAR} AS y, {TERM} AS term, min(o_orderpriority) AS program, min(o_orderstatus) AS degree,
-        max(o_orderpriority) AS curriculum, max(o_totalprice) AS price, count(*) AS n FROM {{orders}} GROUP BY o_custkey, {YEAR}, {TERM}) a
-      CROSS JOIN (SELECT '01' AS session UNION ALL SELECT '' AS session) b""",
+      FROM {{RECORD}}"""
+        for session in ("01", "")
+    ),
     "SECTIONS": f"""SELECT sid AS SectionId, {KEY}, CASE WHEN disc0 >= 0.06 THEN 'C' WHEN disc0 >= 0.04 THEN 'P' ELSE 'A' END AS EVENT_STATUS,
       'Med ' || CAST(s AS STRING) AS EVENT_MED_NAME, 'Long & ' || CAST(s AS STRING) AS EVENT_LONG_NAME, 'O000000001' AS ORG_CODE_ID, 'GRAD' AS PROGRAM, 'COL' AS COLLEGE, 'DEP' AS DEPARTMENT,
       CASE WHEN fi = 0 THEN 'BS' ELSE 'MS' END AS CURRICULUM, 0 AS SCHEDULED_MEETINGS, d0 AS CREATE_DATE, {at('10:00:00')} AS CREATE_TIME FROM {{SEC}}""",
@@ -85,10 +89,13 @@ DERIVED: dict[str, str] = {
       'PRESENT' AS ATTENDANCE_STATUS, CASE WHEN prio <> '5-LOW' THEN ({SID}) * 10000 + month(d) * 100 + day(d) END AS CalendarKey FROM {{LINE}} WHERE disc < 0.08""",
     "GRADEVALUES": f"""SELECT {YEAR} AS ACADEMIC_YEAR, {TERM} AS ACADEMIC_TERM, 'C' AS CREDIT_TYPE, 'W' AS GRADE, 'Y' AS WITHDRAWN_GRADE FROM {{orders}} GROUP BY 1, 2
       UNION ALL SELECT {YEAR}, {TERM}, 'C', 'B', 'N' FROM {{orders}} GROUP BY 1, 2""",
-    "ACADEMICCALENDAR": f"""SELECT y AS ACADEMIC_YEAR, term AS ACADEMIC_TERM, session AS ACADEMIC_SESSION, CAST(yq * 10 + n AS INT) AS SessionPeriodId, start AS START_DATE,
-      fin AS END_DATE, start - 60 AS PRE_REG_DATE, start - 30 AS REG_DATE, start + 14 AS GRADE_PENALTY_DATE, y AS FIN_AID_YEAR
-      FROM (SELECT {YEAR} AS y, {TERM} AS term, (year(o_orderdate) - 1990) * 10 + quarter(o_orderdate) AS yq, min({DAY}) AS start, max({DAY}) AS fin
-        FROM {{orders}} GROUP BY 1, 2, 3) a CROSS JOIN (SELECT '01' AS session, 1 AS n UNION ALL SELECT '02' AS session, 2 AS n) b""",
+    "QUARTER": f"""SELECT {YEAR} AS y, {TERM} AS term, (year(o_orderdate) - 1990) * 10 + quarter(o_orderdate) AS yq, min({DAY}) AS start, max({DAY}) AS fin
+      FROM {{orders}} GROUP BY 1, 2, 3""",
+    "ACADEMICCALENDAR": " UNION ALL ".join(
+        f"""SELECT y AS ACADEMIC_YEAR, term AS ACADEMIC_TERM, '0{n}' AS ACADEMIC_SESSION, CAST(yq * 10 + {n} AS INT) AS SessionPeriodId, start AS START_DATE,
+      fin AS END_DATE, start - 60 AS PRE_REG_DATE, start - 30 AS REG_DATE, start + 14 AS GRADE_PENALTY_DATE, y AS FIN_AID_YEAR FROM {{QUARTER}}"""
+        for n in (1, 2)
+    ),
     "ABT_SETTINGS": """SELECT 'ACA_RECORDS' AS AREA_NAME, 'CURRENT_YT' AS SECTION_NAME, 'CURRENT_YEAR' AS LABEL_NAME, '1999' AS SETTING
       UNION ALL SELECT 'ACA_RECORDS', 'CURRENT_YT', 'CURRENT_TERM', 'FALL' UNION ALL SELECT 'SYSADMIN', 'DATABASE', 'VERSION', '9.1.4'
       UNION ALL SELECT 'OFFICES', 'OP' || CAST(s_suppkey AS STRING), CAST(s_nationkey AS STRING), CASE WHEN s_acctbal > 0 THEN 'Y' ELSE 'N' END FROM {supplier}""",
@@ -239,6 +246,7 @@ class CampusFrames(Mapping):
 
 
 def campus(spark: SparkSession, path: str) -> TableRegistry:
+    prepare(spark)
     shared: dict[str, DataFrame] = {}
     frames, new = CampusFrames(spark, path, "", shared), CampusFrames(spark, path, "NEW_", shared)
     return TableRegistry(spark, {"main": frames, "identity": frames, "old": frames, "new": new})

@@ -16,9 +16,12 @@ def with_row_key(df: DataFrame, order: Sequence[Column | str], name: str = "row_
     """Dense keys ``base + 1 ..`` in the given order, without a one-task window.
 
     Rows are range-partitioned and sorted, then staged so both passes see the
-    same partitions. The only window runs over one row per partition.
+    same partitions. Equal rows of the order are told apart by a digest of the
+    whole row, so a value that many rows share still spreads over partitions.
+    The only window runs over one row per partition.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
+    order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     staged = stage(df.repartitionByRange(width, *order).sortWithinPartitions(*order))
     numbered = staged.withColumn("_at", F.monotonically_increasing_id())

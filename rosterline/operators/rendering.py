@@ -13,16 +13,16 @@ from ..functions import markup
 def render_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], cells: Sequence[Column], name: str) -> DataFrame:
     """Ordered ``<tr>`` rows of each key, concatenated.
 
-    Rows are range-partitioned by (key, order), so a hot key spreads over many
-    tasks; each task renders its stretch, and the stretches, at most one per
-    partition and key, are put together in partition order.
+    Rows are range-partitioned by (key, order, row text), so a hot key spreads
+    over many tasks; each task renders its stretch, and the stretches, at most
+    one per partition and key, are put together in partition order.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     sorts = [f"_o{i}" for i in range(len(order))]
     rows = df.select(*by, *[c.alias(s) for s, c in zip(sorts, order)], markup.row(cells).alias("_tr"))
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stretches = (
-        rows.repartitionByRange(width, *by, *sorts)
+        rows.repartitionByRange(width, *by, *sorts, "_tr")
         .withColumn("_part", F.spark_partition_id())
         .groupBy(*by, "_part")
         .agg(F.array_sort(F.collect_list(F.struct(*sorts, "_tr"))).alias("_rows"))

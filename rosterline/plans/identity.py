@@ -18,6 +18,7 @@ from ..models import campus as m
 from ..operators import changes, joins, sets
 from ..operators.changes import ChangeSet
 from ..sources.registry import TableRegistry
+from ..staging import stage
 
 # Modes of the account stores (directory, federation).
 DIRECTORY_MODE, FEDERATED_MODE = 2, 3
@@ -78,7 +79,8 @@ def sync_identity(t: TableRegistry, application: str, operator_roles: Mapping[st
     """Bring accounts and their roles to the desired state; roles without a record type are never taken away."""
     app = _application_id(t, application, db)
     accounts = t.table("AppUser", db)
-    desired = desired_roles(t, application, operator_roles, db)
+    # Read for the new accounts and again for the roles: computed once.
+    desired = stage(desired_roles(t, application, operator_roles, db))
 
     orphans = joins.anti(
         accounts.filter((F.col("Password") == "") & (F.col("ApplicationId") == app)), t["PersonUser"], ["UserName"]

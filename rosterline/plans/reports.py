@@ -16,9 +16,9 @@ from ..operators.joins import SECTION_KEY
 from ..sources.registry import TableRegistry, find_value as search_tables
 
 
-def _meetings_of(t: TableRegistry, who: DataFrame, person: str) -> DataFrame:
+def _meetings_of(who: DataFrame, person: str, meetings: DataFrame) -> DataFrame:
     """Meetings of each person's sections as intervals, with what the conflict reports show."""
-    rows = who.join(m.scheduled_meetings(t), SECTION_KEY)
+    rows = who.join(meetings, SECTION_KEY)
     start, end = dates.on_date("CALENDAR_DATE", "START_TIME"), dates.on_date("CALENDAR_DATE", "END_TIME")
     return rows.select(
         F.col(person).alias("PEOPLE_CODE_ID"), "ACADEMIC_YEAR", "ACADEMIC_TERM", "EVENT_ID", "EVENT_SUB_TYPE", "SECTION",
@@ -27,12 +27,23 @@ def _meetings_of(t: TableRegistry, who: DataFrame, person: str) -> DataFrame:
     )
 
 
-def _conflicts(meetings: DataFrame, year: str | None, term: str | None) -> DataFrame:
-    """Overlapping meetings of one person; only the first side is limited to the term."""
-    first = meetings.filter(filters.optional_equals({"ACADEMIC_YEAR": year, "ACADEMIC_TERM": term}))
+def _conflicts(t: TableRegistry, who: DataFrame, person: str, year: str | None, term: str | None) -> DataFrame:
+    """Overlapping meetings of one person; only the first side is limited to the term.
+
+    Meetings begin and end on their day, so the second side needs only the days
+    of the first: its range is a scalar that prunes the calendar scan.
+    """
+    in_term = filters.optional_equals({"ACADEMIC_YEAR": year, "ACADEMIC_TERM": term})
+    meetings = m.scheduled_meetings(t)
+    first = second = _meetings_of(who, person, meetings)
+    if filters.given(year) or filters.given(term):
+        first = _meetings_of(who.filter(in_term), person, meetings)
+        days = meetings.filter(in_term).agg(F.min("CALENDAR_DATE").alias("lo"), F.max("CALENDAR_DATE").alias("hi"))
+        same_days = F.col("CALENDAR_DATE").between(days.select("lo").scalar(), days.select("hi").scalar())
+        second = _meetings_of(who, person, meetings.filter(same_days))
     pairs = joins.overlap_pairs(
         first, "PEOPLE_CODE_ID", "Start", "End", "CALENDAR_KEY",
-        carry=["EVENT_ID", "EVENT_SUB_TYPE", "SECTION", "DAY", "DAY_OF_WEEK", "_sync"], second=meetings,
+        carry=["EVENT_ID", "EVENT_SUB_TYPE", "SECTION", "DAY", "DAY_OF_WEEK", "_sync"], second=second,
     )
     asynchronous = F.when(F.col("_sync1") | F.col("_sync2"), "N").otherwise("Y")
     return pairs.withColumn("Async", asynchronous).drop("_sync1", "_sync2")
@@ -40,12 +51,12 @@ def _conflicts(meetings: DataFrame, year: str | None, term: str | None) -> DataF
 
 def student_conflicts(t: TableRegistry, year: str | None = None, term: str | None = None) -> DataFrame:
     registered = t["TRANSCRIPTDETAIL"].filter(F.col("ADD_DROP_WAIT") == "A").select("PEOPLE_CODE_ID", *SECTION_KEY)
-    return _conflicts(_meetings_of(t, registered, "PEOPLE_CODE_ID"), year, term)
+    return _conflicts(t, registered, "PEOPLE_CODE_ID", year, term)
 
 
 def instructor_conflicts(t: TableRegistry, year: str | None = None, term: str | None = None) -> DataFrame:
     assigned = t["SECTIONPER"].select("PERSON_CODE_ID", *SECTION_KEY)
-    return _conflicts(_meetings_of(t, assigned, "PERSON_CODE_ID"), year, term)
+    return _conflicts(t, assigned, "PERSON_CODE_ID", year, term)
 
 
 def conflicts_on_days(conflicts: DataFrame, days: Sequence[date | str] = (), day_pair: tuple[str, str] | None = None) -> DataFrame:
