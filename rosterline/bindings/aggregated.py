@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import aggregates, ranking, rendering, sets
+from ..plans.groups import group_sync
 from .base import Tables, cents, query
 
 
@@ -235,3 +236,16 @@ SELECT root, member FROM reach WHERE member <> root AND member NOT IN (SELECT pa
 def transitive_closure(t: Tables):
     roots = t.region.select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("root"))
     return sets.flatten_membership(membership_edges(t), roots)
+
+
+@query(f"""
+WITH RECURSIVE edges AS ({MEMBERS_SQL}), reach(member) AS (SELECT DISTINCT parent FROM edges WHERE parent LIKE 'R%' UNION SELECT e.member FROM reach r JOIN edges e ON e.parent = r.member),
+ wanted AS (SELECT member FROM reach WHERE member NOT IN (SELECT parent FROM edges)),
+ present AS (SELECT DISTINCT 'C' || o_custkey AS member FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000 UNION SELECT DISTINCT 'P' || l_partkey FROM lineitem WHERE l_quantity = 50)
+SELECT member, 'ADD' AS action FROM wanted WHERE member NOT IN (SELECT member FROM present)
+UNION ALL SELECT member, 'REMOVE' FROM present WHERE member NOT IN (SELECT member FROM wanted)""")
+def group_sync_actions(t: Tables):
+    roots = t.region.select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("root"))
+    members = t.orders.filter("o_orderstatus = 'F' AND o_totalprice > 100000").select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("member"))
+    others = t.lineitem.filter("l_quantity = 50").select(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("member"))
+    return group_sync(membership_edges(t), roots, sets.union_branches([members, others], distinct=True))

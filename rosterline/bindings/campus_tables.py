@@ -193,6 +193,32 @@ DERIVED: dict[str, str] = {
     "NEW_Reported1098TPeriodSummary": "SELECT * FROM {Reported1098TPeriodSummary} WHERE TaxYear <> 1998 OR CumulativeChargesBilled > 300000",
     "NEW_Reported1098TSummaryDetail": "SELECT d.* FROM {Reported1098TSummaryDetail} d JOIN {NEW_Reported1098TPeriodSummary} p ON p.ReportedPeriodSummaryId = d.ReportedPeriodSummaryId",
     "NEW_Reported1098TRefundCode": "SELECT * FROM {Reported1098TRefundCode} WHERE ReportedRefundCodeId <= 4",
+    "AppClaim": "SELECT c_custkey AS AppClaimId, 1 AS ApplicationId, c_name AS Name FROM {customer}",
+    "AppRoleClaim": "SELECT CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS AppRoleId, o_custkey AS AppClaimId FROM {orders} GROUP BY 1, 2",
+    "SiteMapOption": "SELECT p_partkey AS SiteMapOptionId, 'L' || CAST(p_partkey AS STRING) AS LinkId, p_name AS ExternalLink, p_size > 25 AS IsCustom FROM {part}",
+    "SiteMapOptionDetail": "SELECT s_suppkey AS SiteMapOptionDetailId, s_suppkey AS SiteMapOptionId, 'D' || CAST(s_suppkey AS STRING) AS LinkId, s_name AS ExternalLink, s_acctbal > 0 AS IsCustom FROM {supplier}",
+    "SiteMapOptionRole": "SELECT l_partkey AS SiteMapOptionId, CASE l_returnflag WHEN 'R' THEN 1 ELSE 2 END AS SiteMapRoleId, max(l_quantity) > 40 AS IsVisible FROM {lineitem} WHERE l_discount >= 0.05 GROUP BY 1, 2",
+    "SiteMapOptionDetailRole": "SELECT l_suppkey AS SiteMapOptionDetailId, CASE l_returnflag WHEN 'R' THEN 1 ELSE 2 END AS SiteMapRoleId, true AS IsVisible FROM {lineitem} WHERE l_quantity = 50 AND l_discount = 0.1 GROUP BY 1, 2",
+    "InstitutionSetting": "SELECT CASE WHEN c_acctbal > 0 THEN 'Theme' ELSE 'Other' END AS AreaName, c_mktsegment AS SectionName, c_name AS LabelName, CAST(c_nationkey AS STRING) AS Setting, c_custkey AS PersonId FROM {customer}",
+    "NEW_SiteMapRole": "SELECT 1 AS SiteMapRoleId, 'Student' AS RoleName UNION ALL SELECT 12, 'Faculty'",
+    "NEW_SiteMapOption": "SELECT SiteMapOptionId + 1000000 AS SiteMapOptionId, LinkId, ExternalLink, IsCustom FROM {SiteMapOption} WHERE IsCustom = false OR ExternalLink > 'm'",
+    "NEW_SiteMapOptionDetail": "SELECT SiteMapOptionDetailId + 500 AS SiteMapOptionDetailId, SiteMapOptionId, LinkId, ExternalLink, IsCustom FROM {SiteMapOptionDetail} WHERE IsCustom = false",
+    "NEW_SiteMapOptionRole": "SELECT SiteMapOptionId + 1000000 AS SiteMapOptionId, 12 AS SiteMapRoleId, IsVisible FROM {SiteMapOptionRole} WHERE SiteMapRoleId = 2 AND IsVisible",
+    "NEW_SiteMapOptionDetailRole": "SELECT SiteMapOptionDetailId + 500 AS SiteMapOptionDetailId, SiteMapRoleId, IsVisible FROM {SiteMapOptionDetailRole} WHERE SiteMapRoleId = 1",
+    "NEW_InstitutionSetting": "SELECT AreaName, SectionName, LabelName, 'old' AS Setting, PersonId FROM {InstitutionSetting} WHERE Setting < '2'",
+    "ABT_OBJECTS": "SELECT o_orderpriority AS OBJECT_NAME, CASE o_orderstatus WHEN 'O' THEN NULL WHEN 'P' THEN ' ' ELSE 'kept' END AS HELP_NAME FROM {orders}",
+    "ABT_TABLESECURITY": """SELECT o_orderpriority AS SECURITY_ID, 'v' || CAST(o_custkey AS STRING) AS TABLE_NAME, CASE max(o_orderstatus) WHEN 'P' THEN 'Y' ELSE 'N' END AS EDIT_RIGHTS,
+      CASE min(o_orderstatus) WHEN 'F' THEN 'Y' ELSE 'N' END AS DELETE_RIGHTS FROM {orders} GROUP BY o_orderpriority, o_custkey""",
+    "VISTAVIEW": "SELECT c_custkey AS VIEW_ID, c_name AS VIEW_NAME, 'v' || CAST(c_custkey AS STRING) AS VIEW_DB_NAME FROM {customer}",
+    **{
+        f"VISTAVIEW{part}": f"SELECT o_custkey AS VIEW_ID, o_orderkey AS SEQUENCE FROM {{orders}} WHERE o_orderpriority >= '{least}'"
+        for part, least in (
+            ("COLUMNS", "1"), ("COMPUTES", "5"), ("CRITERIA", "4"), ("GROUPS", "5"), ("JOIN", "3"), ("JOINCRITERIA", "3"), ("SORT", "4"), ("SYNTAX", "2"), ("TABLES", "2"),
+        )
+    },
+    "PBCATCOL": "SELECT 'v' || CAST(o_custkey AS STRING) AS PBC_TNAM, o_orderpriority AS PBC_CNAM FROM {orders}",
+    "PBCATTBL": "SELECT 'v' || CAST(c_custkey AS STRING) AS PBT_TNAM FROM {customer}",
+    "ABT_TABLES": "SELECT 'v' || CAST(c_custkey AS STRING) AS TABLE_NAME FROM {customer}",
     "MESSAGEQUEUE": "SELECT o_orderkey AS MESSAGEID, 'Happy Birthday!' AS SUBJECT, DATE '1999-11-21' AS CREATE_DATE FROM {orders} WHERE o_orderpriority = '1-URGENT'",
     "MESSAGERECIPIENTS": f"SELECT o_orderkey AS MESSAGEID, 'to' AS RECIPIENTTYPE, {person('o_custkey')} AS PEOPLECODEID FROM {{orders}} WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'",
 }

@@ -136,6 +136,14 @@ SCHEMAS: dict[str, str] = {
     "Reported1098TRefundCode": "ReportedRefundCodeId bigint, TaxYear int, ChargeCreditCode string",
     "ABT_OBJECTS": "OBJECT_NAME string, HELP_NAME string, REVISION_DATE date, REVISION_TIME timestamp_ntz, REVISION_OPID string",
     "ABT_TABLESECURITY": "SECURITY_ID string, TABLE_NAME string, EDIT_RIGHTS string, DELETE_RIGHTS string",
+    "VISTAVIEW": "VIEW_ID bigint, VIEW_NAME string, VIEW_DB_NAME string, DESCRIPTION string, SYNTAX_ALTERED string, IS_DISTINCT string",
+    **{
+        f"VISTAVIEW{part}": "VIEW_ID bigint, SEQUENCE bigint"
+        for part in ("COLUMNS", "COMPUTES", "CRITERIA", "GROUPS", "JOIN", "JOINCRITERIA", "SORT", "SYNTAX", "TABLES")
+    },
+    "PBCATCOL": "PBC_TNAM string, PBC_CNAM string",
+    "PBCATTBL": "PBT_TNAM string",
+    "ABT_TABLES": "TABLE_NAME string",
     **{name: _CODE for name in CODE_TABLES},
 }
 

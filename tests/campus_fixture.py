@@ -342,4 +342,7 @@ def duck(tables=None):
         con.execute(f"CREATE TABLE {name} (" + ", ".join(f"{c} {duck_type(k)}" for c, k in columns) + ")")
         for r in tables.get(name, []):
             con.execute(f"INSERT INTO {name} VALUES (" + ", ".join("?" * len(columns)) + ")", [r.get(c) for c, _ in columns])
+    for name in SCHEMAS:
+        if f"NEW_{name}" not in tables:
+            con.execute(f"CREATE VIEW NEW_{name} AS SELECT * FROM {name}")
     return con
