@@ -29,7 +29,7 @@ def overlap_pairs(t: Tables):
 
 @query(f"SELECT o_custkey, count(*) AS conflicts FROM ({OVERLAP_SQL}) GROUP BY o_custkey")
 def count_by_key(t: Tables):
-    return aggregates.overlap_counts(order_windows(t), "o_custkey", "s", "e", "o_orderkey")
+    return aggregates.overlap_counts(order_windows(t), "o_custkey", "s", "e", "o_orderkey", unique_key=True)
 
 
 @query("""

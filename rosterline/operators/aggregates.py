@@ -64,15 +64,22 @@ def high_water(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def overlap_counts(df: DataFrame, entity: str, start: str, end: str, key: str, name: str = "conflicts") -> DataFrame:
+def overlap_counts(
+    df: DataFrame, entity: str, start: str, end: str, key: str, name: str = "conflicts", unique_key: bool = False
+) -> DataFrame:
     """Number of ordered pairs of overlapping intervals per entity, without forming the pairs.
 
     An interval meets every interval that starts by its end, except those that
     ended before its start. Counts of starts and ends are first combined per
     (entity, moment); the running totals then run over distinct moments only,
-    so a hot entity costs its calendar, not its rows. Pairs within one key do not count.
+    so a hot entity costs its calendar, not its rows. Pairs within one key do
+    not count; with ``unique_key`` no interval repeats and one exchange is saved.
     """
-    whole = df.filter(F.col(start) <= F.col(end)).groupBy(entity, key, start, end).agg(F.count(F.lit(1)).alias("_c"))
+    valid = df.filter(F.col(start) <= F.col(end))
+    if unique_key:
+        whole = valid.select(entity, start, end, F.lit(1).cast("bigint").alias("_c"))
+    else:
+        whole = valid.groupBy(entity, key, start, end).agg(F.count(F.lit(1)).alias("_c"))
     moments = whole.select(
         entity,
         F.inline(

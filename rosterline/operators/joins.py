@@ -111,11 +111,13 @@ def overlap_pairs(
 ) -> DataFrame:
     """Pairs of intervals of one entity that overlap (ends included), different keys, both orders.
 
-    Each interval is written to the day buckets it touches and joined on
-    (entity, bucket), so the work per task is bounded by one entity's day, not
-    by the entity. A pair is kept only in the bucket of its later start: it is
-    emitted once and needs no distinct. ``second`` replaces the right side;
-    ``carry`` columns come out with suffixes 1 and 2.
+    Intervals are written to day buckets and joined on (entity, bucket), so the
+    work per task is bounded by one entity's day, not by the entity, and no pair
+    is met twice. Within one set, each interval goes to all its buckets on the
+    left but only to that of its start on the right: a pair is found where its
+    later interval starts, and mirrored afterwards. With a ``second`` set for the
+    right side both sides go to all their buckets, and a pair is kept in the
+    bucket of its later start. ``carry`` columns come out with suffixes 1 and 2.
     """
     columns = [entity, key, start, end, *carry]
     origin = F.lit("1900-01-01").cast("date")
@@ -123,26 +125,28 @@ def overlap_pairs(
     def bucket(c: Column) -> Column:
         return F.floor(F.date_diff(c.cast("date"), origin) / F.lit(bucket_days)).cast("int")
 
-    def side(frame: DataFrame, n: int) -> DataFrame:
+    def side(frame: DataFrame, n: int, spread: bool) -> DataFrame:
         picked = frame.select(*[F.col(c).alias(f"{c}{n}") for c in columns]).filter(
             F.col(f"{start}{n}") <= F.col(f"{end}{n}")
         )
         first, last = bucket(F.col(f"{start}{n}")), bucket(F.col(f"{end}{n}"))
-        return picked.withColumn(f"_b{n}", F.explode(F.sequence(first, last)))
-
-    a, b = side(df, 1), side(second if second is not None else df, 2)
-    joined = a.join(
-        b,
-        (a[f"{entity}1"] == b[f"{entity}2"])
-        & (a["_b1"] == b["_b2"])
-        & (a[f"{start}1"] <= b[f"{end}2"])
-        & (b[f"{start}2"] <= a[f"{end}1"])
-        & (a[f"{key}1"] != b[f"{key}2"]),
-    ).filter(F.col("_b1") == bucket(F.greatest(F.col(f"{start}1"), F.col(f"{start}2"))))
-    out = [F.col(f"{entity}1").alias(entity)]
-    for c in (key, start, end, *carry):
-        out += [F.col(f"{c}1"), F.col(f"{c}2")]
-    return joined.select(*out)
+        return picked.withColumn(f"_b{n}", F.explode(F.sequence(first, last)) if spread else first)
+
+    pairwise = [entity, *[f"{c}{n}" for c in (key, start, end, *carry) for n in (1, 2)]]
+    a, b = side(df, 1, True), side(df if second is None else second, 2, second is not None)
+    s1, e1, s2, e2 = (F.col(c) for c in (f"{start}1", f"{end}1", f"{start}2", f"{end}2"))
+    same = (a[f"{entity}1"] == b[f"{entity}2"]) & (a["_b1"] == b["_b2"]) & (a[f"{key}1"] != b[f"{key}2"])
+    if second is not None:
+        joined = a.join(b, same & (s1 <= e2) & (s2 <= e1)).filter(F.col("_b1") == bucket(F.greatest(s1, s2)))
+        return joined.withColumn(entity, F.col(f"{entity}1")).select(*pairwise)
+
+    found = a.join(b, same & (s2 >= s1) & (s2 <= e1)).withColumn(entity, F.col(f"{entity}1"))
+    swapped = [
+        F.col(f"{c[:-1]}{3 - int(c[-1])}").alias(c) if c != entity else F.col(c) for c in pairwise
+    ]
+    # Equal starts meet in both orders by themselves.
+    both = F.when(s1 < s2, F.array(F.struct(*pairwise), F.struct(*swapped))).otherwise(F.array(F.struct(*pairwise)))
+    return found.select(F.inline(both))
 
 
 def first_match(

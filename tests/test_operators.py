@@ -316,6 +316,27 @@ def test_no_window_over_a_hot_key(spark):
         assert "Window" not in plan and "partial_" in plan
 
 
+def test_hot_key_of_chained_joins_is_split(spark):
+    """One key holds a third of the rows; the joins on it are split although they share their partitioning."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(0, 90000, 1, 4).select(F.when(F.col("id") < 30000, 0).otherwise(F.col("id") % 900).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        one, two = (spark.range(900).select(F.col("id").alias("k"), F.lit(n).alias(f"d{n}")) for n in (1, 2))
+        out = facts.join(one, "k").join(two, "k")
+        assert len(out.collect()) == 90000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     from rosterline.sources.registry import TableRegistry
 
