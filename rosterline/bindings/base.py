@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,15 +35,26 @@ class Tables:
         return self.registry.table("orders").withColumn("d", F.col("o_orderdate").cast("date"))
 
 
-def query(sql: str | None = None):
+def portable(df: DataFrame, texts: Sequence[str] = (), numbers: Sequence[str] = ()) -> DataFrame:
+    """Days and moments as text and decimals as doubles, which all clients print alike."""
+    casts = {c: "string" for c in texts} | {c: "double" for c in numbers}
+    return df.withColumns({c: F.col(c).cast(k) for c, k in casts.items()}) if casts else df
+
+
+def portable_sql(sql: str, texts: Sequence[str] = (), numbers: Sequence[str] = ()) -> str:
+    casts = [f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in texts] + [f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in numbers]
+    return f"SELECT * REPLACE ({', '.join(casts)}) FROM (\n{sql}\n) typed" if casts else sql
+
+
+def query(sql: str | None = None, texts: Sequence[str] = (), numbers: Sequence[str] = ()):
     """Register a function of ``Tables`` under its own name."""
 
     def wrap(fn: Callable[[Tables], DataFrame]):
         name = fn.__name__
         assert name not in QUERIES, name
-        QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: portable(fn(Tables(spark, sf_dir)), texts, numbers)
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[name] = portable_sql(sql, texts, numbers)
         return fn
 
     return wrap

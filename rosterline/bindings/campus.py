@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..models import campus as m
 from ..plans import identity, lookups, metadata, notices, quality, reports, writers
 from ..sources.registry import TableRegistry
-from .base import ORACLES, QUERIES
+from .base import ORACLES, QUERIES, portable, portable_sql
 from .campus_tables import campus, with_tables
 
 SUNDAY, TUESDAY = date(1999, 11, 21), date(1999, 11, 23)
@@ -21,14 +22,14 @@ PLAIN: dict[str, str] = {}
 PLANS: dict[str, object] = {}
 
 
-def plan(sql: str | None = None):
+def plan(sql: str | None = None, texts: Sequence[str] = (), numbers: Sequence[str] = ()):
     def wrap(fn):
         name = f"campus_{fn.__name__}"
         assert name not in QUERIES, name
-        QUERIES[name] = lambda spark, sf_dir: fn(campus(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: portable(fn(campus(spark, sf_dir)), texts, numbers)
         PLANS[name] = fn
         if sql is not None:
-            ORACLES[name] = with_tables(sql)
+            ORACLES[name] = portable_sql(with_tables(sql), texts, numbers)
             PLAIN[name] = sql
         return fn
 
@@ -76,7 +77,7 @@ def action_codes(t: TableRegistry) -> DataFrame:
   SELECT ID AS BalanceId, PEOPLE_ORG_CODE_ID AS PEOPLE_CODE_ID, ACADEMIC_YEAR, ACADEMIC_TERM, BALANCE_AMOUNT,
     CAST(BALANCE_AMOUNT - coalesce((SELECT sum(AMOUNT) FROM CHARGECREDIT c WHERE c.PEOPLE_ORG_CODE_ID = b.PEOPLE_ORG_CODE_ID AND c.ANTICIPATED_FLAG = 'Y' AND c.CHARGE_CREDIT_TYPE = 'F'
       AND c.ACADEMIC_YEAR = b.ACADEMIC_YEAR AND c.ACADEMIC_TERM = b.ACADEMIC_TERM AND c.ACADEMIC_SESSION = b.ACADEMIC_SESSION), 0) AS DECIMAL(19, 4)) AS AnticBalance
-  FROM PEOPLEORGBALANCE b)""")
+  FROM PEOPLEORGBALANCE b)""", numbers=["BALANCE_AMOUNT", "AnticBalance"])
 def balance_detail(t):
     return lookups.balance_detail(t)
 
@@ -174,7 +175,7 @@ CODES_JOIN = """JOIN CODE_PROGRAM cp ON cp.CODE_VALUE_KEY = PROGRAM JOIN CODE_DE
 
 
 @plan(f"""WITH {CUR} SELECT PEOPLE_CODE_ID, ACADEMIC_YEAR, ACADEMIC_TERM, {PLAN_SQL}, FULL_PART FROM ACADEMIC a {CODES_JOIN} JOIN cur ON ACADEMIC_YEAR = cy AND ACADEMIC_TERM = ct
-WHERE ACADEMIC_SESSION = '' AND ENROLL_SEPARATION = 'ENRL' AND a.STATUS <> 'N' AND PRIMARY_FLAG = 'Y'""")
+WHERE ACADEMIC_SESSION = '' AND ENROLL_SEPARATION = 'ENRL' AND a.STATUS <> 'N' AND PRIMARY_FLAG = 'Y'""", numbers=["CREDITS"])
 def student_current(t):
     return lookups.student_current(t)
 
@@ -184,7 +185,7 @@ SELECT a.PEOPLE_CODE_ID, a.ACADEMIC_YEAR, a.ACADEMIC_TERM, CAST(sum(CAST(td.CRED
 FROM ACADEMIC a JOIN ot ON ot.ACADEMIC_YEAR = a.ACADEMIC_YEAR AND ot.ACADEMIC_TERM = a.ACADEMIC_TERM
 LEFT JOIN TRANSCRIPTDETAIL td ON td.PEOPLE_ID = a.PEOPLE_ID AND td.ACADEMIC_YEAR = a.ACADEMIC_YEAR AND td.ACADEMIC_TERM = a.ACADEMIC_TERM
   AND td.ACADEMIC_SESSION = a.ACADEMIC_SESSION AND td.ADD_DROP_WAIT = 'A'
-WHERE TermId = (SELECT cid FROM curid) - 1 AND a.ENROLL_SEPARATION = 'ENRL' AND a.STATUS <> 'N' GROUP BY a.PEOPLE_CODE_ID, a.ACADEMIC_YEAR, a.ACADEMIC_TERM""")
+WHERE TermId = (SELECT cid FROM curid) - 1 AND a.ENROLL_SEPARATION = 'ENRL' AND a.STATUS <> 'N' GROUP BY a.PEOPLE_CODE_ID, a.ACADEMIC_YEAR, a.ACADEMIC_TERM""", numbers=["TOTAL_CREDITS"])
 def student_offset(t):
     return lookups.student_offset(t, term_offset=-1)
 
@@ -196,7 +197,7 @@ SELECT PEOPLE_CODE_ID, ACADEMIC_YEAR, ACADEMIC_TERM, PROGRAM, DEPARTMENT, Progra
 FROM (SELECT PEOPLE_CODE_ID, a.ACADEMIC_YEAR, a.ACADEMIC_TERM, {PLAN_SQL}, row_number() OVER (PARTITION BY PEOPLE_CODE_ID ORDER BY TRANSCRIPT_SEQ DESC, ACADEMIC_SESSION DESC, PROGRAM DESC, DEGREE DESC, CURRICULUM DESC) AS rn
   FROM ACADEMIC a {CODES_JOIN} JOIN ot ON ot.ACADEMIC_YEAR = a.ACADEMIC_YEAR AND ot.ACADEMIC_TERM = a.ACADEMIC_TERM
   WHERE TermId = (SELECT o FROM open_term) AND a.STATUS <> 'N' AND ACADEMIC_FLAG = 'Y' AND PRIMARY_FLAG = 'Y'
-    AND ENROLL_SEPARATION NOT IN (SELECT CODE_VALUE_KEY FROM CODE_ENROLLMENT WHERE REQUIRE_SEPDATE = 'Y')) WHERE rn = 1""")
+    AND ENROLL_SEPARATION NOT IN (SELECT CODE_VALUE_KEY FROM CODE_ENROLLMENT WHERE REQUIRE_SEPDATE = 'Y')) WHERE rn = 1""", numbers=["CREDITS"])
 def student_reg(t):
     return lookups.student_reg(t, TUESDAY)
 
@@ -245,7 +246,7 @@ def term_dates(t):
 
 @plan("""SELECT ACADEMIC_YEAR, ACADEMIC_TERM, ACADEMIC_SESSION, ACADEMIC_YEAR || '/' || ACADEMIC_TERM || '/' || ACADEMIC_SESSION AS YTS, ACADEMIC_TERM || '/' || ACADEMIC_YEAR || '/' || ACADEMIC_SESSION AS TYS,
   START_DATE, END_DATE, PRE_REG_DATE, REG_DATE, FIN_AID_YEAR, SessionPeriodId FROM ACADEMICCALENDAR WHERE END_DATE >= DATE '1999-11-23'
-  AND 1 >= CAST(trunc(date_diff('day', START_DATE, DATE '1999-11-23') / 7.0) AS INTEGER) + 1""")
+  AND 1 >= CAST(trunc(date_diff('day', START_DATE, DATE '1999-11-23') / 7.0) AS INTEGER) + 1""", texts=["START_DATE", "END_DATE", "PRE_REG_DATE", "REG_DATE"])
 def terms(t):
     return lookups.terms(t, TUESDAY, True, "/", 1)
 
@@ -271,7 +272,7 @@ MEETINGS = f"""meet AS (SELECT {', '.join('ss.' + c for c in KEY6.split(', '))},
 SELECT td.PEOPLE_CODE_ID, td.PEOPLE_ID, CAST(TermId AS INTEGER) AS TermId, {', '.join('td.' + c for c in KEY6.split(', '))}, TRANSCRIPT_SEQ, td.EVENT_MED_NAME, td.EVENT_LONG_NAME, COLLEGE, DEPARTMENT, REGULAR_DAY,
   CALENDAR_DATE, m.START_TIME, m.END_TIME, DAY_OF_WEEK, BUILDING_CODE, m.ROOM_ID, SectionId, SECTIONSCHEDULE_ID, EVENT_KEY, CALENDAR_KEY
 FROM (SELECT x.*, TermId FROM TRANSCRIPTDETAIL x JOIN ot ON ot.ACADEMIC_YEAR = x.ACADEMIC_YEAR AND ot.ACADEMIC_TERM = x.ACADEMIC_TERM) td JOIN SECTIONS s USING ({KEY6}) JOIN meet m USING ({KEY6})
-WHERE s.EVENT_STATUS = 'A' AND ADD_DROP_WAIT = 'A'""")
+WHERE s.EVENT_STATUS = 'A' AND ADD_DROP_WAIT = 'A'""", texts=["CALENDAR_DATE", "START_TIME", "END_TIME"])
 def section_meetings_student(t):
     return m.section_meetings(t)
 
@@ -333,14 +334,14 @@ def plan_progress(t):
 
 @plan(r"""SELECT r.ASSESSMENT_RULE_ID, ACADEMIC_YEAR, ACADEMIC_TERM, r.LONG_DESC, nullif(regexp_extract(SELECT_CRITERIA, 'STUDENTFINANCIAL.CREDIT_BILLING([^)]*)', 1, 'i'), '') AS "Billing Credits Filter",
   PER_CREDIT_FLAT, AMOUNT, CHARGE_CREDIT_CODE, CRG_CRD_DESC, CRG_CRD_MED_DESC, OVERLOAD, COURSE_CREDIT_BASE FROM ASSESSMENTRULE r JOIN ASSESSCHARGECREDIT a ON a.ASSESSMENT_RULE_ID = r.ASSESSMENT_RULE_ID
-JOIN CODE_CHARGECREDIT c ON c.CODE_VALUE_KEY = CHARGE_CREDIT_CODE WHERE SECTION_FEE_FLAG = 'N'""")
+JOIN CODE_CHARGECREDIT c ON c.CODE_VALUE_KEY = CHARGE_CREDIT_CODE WHERE SECTION_FEE_FLAG = 'N'""", numbers=["AMOUNT"])
 def billing_rules(t):
     return reports.billing_rules(t)
 
 
 @plan("""SELECT CODE_VALUE, SHORT_DESC, MEDIUM_DESC, LONG_DESC AS Message, CASE STOP_REGISTRATION WHEN 'Y' THEN 'Yes' WHEN 'N' THEN 'No' END AS STOP_REGISTRATION,
   CASE STOP_GRADES WHEN 'Y' THEN 'Yes' WHEN 'N' THEN 'No' END AS STOP_GRADES, CASE SHOW_STOP_PICTURE WHEN 'Y' THEN 'Yes' WHEN 'N' THEN 'No' END AS SHOW_STOP_PICTURE,
-  CAST(CREATE_DATE AS DATE) AS CREATE_DATE, CASE STATUS WHEN 'A' THEN 'Active' WHEN 'I' THEN 'Inactive' END AS Status FROM CODE_STOPLIST""")
+  CAST(CREATE_DATE AS DATE) AS CREATE_DATE, CASE STATUS WHEN 'A' THEN 'Active' WHEN 'I' THEN 'Inactive' END AS Status FROM CODE_STOPLIST""", texts=["CREATE_DATE"])
 def stop_reasons(t):
     return reports.stop_reasons(t)
 
@@ -390,7 +391,7 @@ def same(x: str, y: str) -> str:
  rest AS (SELECT * FROM ADDRESSSCHEDULE a WHERE NOT (END_DATE IS NULL AND EXISTS (SELECT 1 FROM good g WHERE g.PEOPLE_ORG_CODE_ID = a.PEOPLE_ORG_CODE_ID AND g.START_DATE = a.START_DATE AND {same('g', 'a')}))),
  kept AS (SELECT * FROM rest WHERE NOT (STATUS = 'I' AND SEQUENCE_NO NOT IN (SELECT min(SEQUENCE_NO) FROM rest GROUP BY PEOPLE_ORG_CODE_ID, ADDRESS_TYPE, END_DATE, {', '.join(LINES10)})))
 SELECT SEQUENCE_NO, PEOPLE_ORG_CODE_ID, ADDRESS_TYPE, START_DATE, CASE WHEN hit THEN NULL ELSE END_DATE END AS END_DATE, CASE WHEN hit THEN 'A' ELSE STATUS END AS STATUS
-FROM (SELECT *, EXISTS (SELECT 1 FROM good g WHERE g.PEOPLE_ORG_CODE_ID = k.PEOPLE_ORG_CODE_ID AND k.END_DATE = g.START_DATE - 1 AND {same('g', 'k')}) AS hit FROM kept k)""")
+FROM (SELECT *, EXISTS (SELECT 1 FROM good g WHERE g.PEOPLE_ORG_CODE_ID = k.PEOPLE_ORG_CODE_ID AND k.END_DATE = g.START_DATE - 1 AND {same('g', 'k')}) AS hit FROM kept k)""", texts=["START_DATE", "END_DATE"])
 def repair_addresses(t):
     return quality.repair_addresses(t).new_state.select("SEQUENCE_NO", "PEOPLE_ORG_CODE_ID", "ADDRESS_TYPE", "START_DATE", "END_DATE", "STATUS")
 
@@ -474,7 +475,7 @@ def tax_form_keys(t):
  new AS (SELECT DISTINCT td.PEOPLE_CODE_ID, ACADEMIC_YEAR, ACADEMIC_TERM, EVENT_ID, SECTION, violation FROM req JOIN TRANSCRIPTDETAIL td ON TranscriptDetailId = detail_id
    WHERE violation IN (SELECT CODE_VALUE_KEY FROM CODE_VIOLATIONS))
 SELECT PEOPLE_CODE_ID, ACADEMIC_YEAR, ACADEMIC_TERM, EVENT_ID, SECTION, violation AS VIOLATION, DATE '1999-11-23' AS VIOLATION_DATE FROM new n WHERE NOT EXISTS (SELECT 1 FROM VIOLATIONS v
-  WHERE v.PEOPLE_CODE_ID = n.PEOPLE_CODE_ID AND v.ACADEMIC_YEAR = n.ACADEMIC_YEAR AND v.ACADEMIC_TERM = n.ACADEMIC_TERM AND v.EVENT_ID = n.EVENT_ID AND v.SECTION = n.SECTION AND v.VIOLATION = n.violation)""")
+  WHERE v.PEOPLE_CODE_ID = n.PEOPLE_CODE_ID AND v.ACADEMIC_YEAR = n.ACADEMIC_YEAR AND v.ACADEMIC_TERM = n.ACADEMIC_TERM AND v.EVENT_ID = n.EVENT_ID AND v.SECTION = n.SECTION AND v.VIOLATION = n.violation)""", texts=["VIOLATION_DATE"])
 def record_violation(t):
     kind = F.when(F.col("TRANSCRIPT_SEQ") == "002", "2-HIGH").when(F.col("FINAL_GRADE") == "W", "4-NOT SPECIFIED").otherwise("1-URGENT")
     requests = t["TRANSCRIPTDETAIL"].filter("FINAL_GRADE IS NOT NULL").select(F.col("TranscriptDetailId").alias("detail_id"), kind.alias("violation"))
@@ -505,7 +506,7 @@ ACTION_REQ = """req AS (SELECT PEOPLE_CODE_ID, CASE FIRST_NAME WHEN 'BUILDING' T
 SELECT PEOPLE_CODE_ID AS PEOPLE_ORG_CODE_ID, action_id AS ACTION_ID, DATE '1999-12-24' AS SCHEDULED_DATE, CASE WHEN completed = 'Y' THEN DATE '1999-11-23' END AS EXECUTION_DATE,
   CASE WHEN completed = 'Y' THEN PEOPLE_CODE_ID END AS COMPLETED_BY, CASE WHEN completed = 'Y' THEN 'Y' ELSE 'N' END AS COMPLETED, '1999' AS ACADEMIC_YEAR, 'FALL' AS ACADEMIC_TERM, '' AS ACADEMIC_SESSION,
   'Y' AS REQUIRED, '    1 5' AS DURATION, 'DYNFORMS' AS CREATE_OPID, CAST((SELECT max(ACTIONSCHEDULE_ID) FROM ACTIONSCHEDULE) + row_number() OVER (ORDER BY PEOPLE_CODE_ID) AS BIGINT) AS ACTIONSCHEDULE_ID
-FROM req WHERE sched_date <> '' AND action_id <> 'unknown' AND resp_staff IS NULL""")
+FROM req WHERE sched_date <> '' AND action_id <> 'unknown' AND resp_staff IS NULL""", texts=["SCHEDULED_DATE", "EXECUTION_DATE"])
 def schedule_action(t):
     first = F.col("FIRST_NAME")
     requests = t["PEOPLE"].select(
@@ -536,7 +537,7 @@ def _stops(t):
 
 @plan(f"""WITH {STOPS}
 SELECT pid AS PEOPLE_CODE_ID, reason AS STOP_REASON, DATE '1999-11-23' AS STOP_DATE, CAST(NULL AS VARCHAR) AS CURRENT_CLEARED, 'N' AS NEW_CLEARED, CAST(NULL AS VARCHAR) AS CURRENT_COMMENTS, {STOP_COMMENT} AS NEW_COMMENTS FROM new
-UNION ALL SELECT PEOPLE_CODE_ID, reason, STOP_DATE, CLEARED, 'N', COMMENTS, CASE WHEN length(coalesce(COMMENTS, '')) > 0 THEN COMMENTS || chr(13) || chr(10) || {STOP_COMMENT} ELSE {STOP_COMMENT} END FROM again""")
+UNION ALL SELECT PEOPLE_CODE_ID, reason, STOP_DATE, CLEARED, 'N', COMMENTS, CASE WHEN length(coalesce(COMMENTS, '')) > 0 THEN COMMENTS || chr(13) || chr(10) || {STOP_COMMENT} ELSE {STOP_COMMENT} END FROM again""", texts=["STOP_DATE"])
 def insert_stops(t):
     return _stops(t)["log"].select("PEOPLE_CODE_ID", "STOP_REASON", "STOP_DATE", "CURRENT_CLEARED", "NEW_CLEARED", "CURRENT_COMMENTS", "NEW_COMMENTS")
 
@@ -558,7 +559,7 @@ JOIN ACADEMIC a ON a.PEOPLE_CODE_ID = td.PEOPLE_CODE_ID AND a.ACADEMIC_YEAR = td
 JOIN SECTIONS s ON s.ACADEMIC_YEAR = td.ACADEMIC_YEAR AND s.ACADEMIC_TERM = td.ACADEMIC_TERM AND s.ACADEMIC_SESSION = td.ACADEMIC_SESSION AND s.EVENT_ID = td.EVENT_ID AND s.EVENT_SUB_TYPE = td.EVENT_SUB_TYPE AND s.SECTION = td.SECTION AND s.EVENT_STATUS = 'A'
 JOIN meet m ON m.ACADEMIC_YEAR = td.ACADEMIC_YEAR AND m.ACADEMIC_TERM = td.ACADEMIC_TERM AND m.ACADEMIC_SESSION = td.ACADEMIC_SESSION AND m.EVENT_ID = td.EVENT_ID AND m.EVENT_SUB_TYPE = td.EVENT_SUB_TYPE AND m.SECTION = td.SECTION
 WHERE ADD_DROP_WAIT = 'A' AND NOT EXISTS (SELECT 1 FROM TRANATTENDANCE ta WHERE ta.CalendarKey = m.CALENDAR_KEY AND ta.PEOPLE_CODE_ID = td.PEOPLE_CODE_ID)
-  AND FINAL_GRADE NOT IN {WITHDRAWN} AND STATUS_DATE > CALENDAR_DATE AND s.CREATE_DATE + (s.CREATE_TIME - TIMESTAMP '1900-01-01') < CALENDAR_DATE + (m.END_TIME - TIMESTAMP '1900-01-01') GROUP BY ALL""")
+  AND FINAL_GRADE NOT IN {WITHDRAWN} AND STATUS_DATE > CALENDAR_DATE AND s.CREATE_DATE + (s.CREATE_TIME - TIMESTAMP '1900-01-01') < CALENDAR_DATE + (m.END_TIME - TIMESTAMP '1900-01-01') GROUP BY ALL""", texts=["ATTENDANCE_DATE"])
 def late_registrant_absences(t):
     return writers.late_registrant_absences(t, NOW).changes.groupBy(
         "PEOPLE_CODE_ID", "EVENT_ID", "SECTION", "ATTENDANCE_DATE", "CalendarKey", "ATTENDANCE_STATUS"
@@ -598,7 +599,7 @@ def update_section_meetings(t):
 
 
 @plan("""SELECT CALENDAR_KEY, CASE WHEN moved THEN DATE '1999-10-12' ELSE CALENDAR_DATE END AS CALENDAR_DATE, CASE WHEN moved THEN 'TUE' ELSE DAY_OF_WEEK END AS DAY_OF_WEEK FROM (
-  SELECT *, CALENDAR_DATE = DATE '1999-10-11' AND date_diff('minute', START_TIME, END_TIME) > 10 AS moved FROM CALENDAR WHERE CALENDAR_DATE <> DATE '1999-10-20')""")
+  SELECT *, CALENDAR_DATE = DATE '1999-10-11' AND date_diff('minute', START_TIME, END_TIME) > 10 AS moved FROM CALENDAR WHERE CALENDAR_DATE <> DATE '1999-10-20')""", texts=["CALENDAR_DATE"])
 def shifted_calendar(t):
     updated = writers.update_section_meetings(t, "1999", "FALL", ("1999", "FALL"), ["1999-10-20"], {"1999-10-11": "1999-10-12"})
     return updated["CALENDAR"].new_state.select("CALENDAR_KEY", "CALENDAR_DATE", "DAY_OF_WEEK")

@@ -44,7 +44,7 @@ WITH target AS (SELECT o_custkey AS k, max(o_totalprice) AS setting FROM orders
 SELECT coalesce(t.k, s.k) AS k, coalesce(s.setting, t.setting) AS setting,
   CASE WHEN t.k IS NULL THEN DATE '2001-08-01' ELSE DATE '1995-01-01' END AS created,
   CASE WHEN s.k IS NOT NULL THEN DATE '2001-08-01' ELSE DATE '1995-01-01' END AS revised
-FROM target t FULL JOIN source s ON s.k = t.k""")
+FROM target t FULL JOIN source s ON s.k = t.k""", texts=["created", "revised"])
 def upsert_settings(t: Tables):
     old = dates.day("1995-01-01")
     target = t.orders.filter("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("k")).agg(
@@ -126,7 +126,7 @@ p AS (SELECT * FROM r WHERE NOT (status = 'I' AND o_orderkey NOT IN (SELECT min(
 @query(f"""
 WITH {VERSIONS_SQL}
 SELECT o_orderkey, o_custkey, start_date, CASE WHEN hit THEN NULL ELSE end_date END AS end_date, CASE WHEN hit THEN 'A' ELSE status END AS status
-FROM (SELECT p.*, EXISTS (SELECT 1 FROM g WHERE g.o_custkey = p.o_custkey AND p.end_date = g.start_date - 1) AS hit FROM p)""")
+FROM (SELECT p.*, EXISTS (SELECT 1 FROM g WHERE g.o_custkey = p.o_custkey AND p.end_date = g.start_date - 1) AS hit FROM p)""", texts=["start_date", "end_date"])
 def repair_versions(t: Tables):
     is_open = F.col("o_orderstatus") == "O"
     versions = t.dated_orders.select(
@@ -259,7 +259,7 @@ def cascade_copy(t: Tables):
 @query("""
 SELECT o_custkey, count(*) AS meetings, max(d) AS last_day FROM (
   SELECT o_custkey, CASE WHEN o_orderdate = TIMESTAMP '1998-02-20' AND o_totalprice > 1000 THEN DATE '1998-02-21' ELSE CAST(o_orderdate AS DATE) END AS d
-  FROM orders WHERE o_orderdate <> TIMESTAMP '1998-04-25') GROUP BY o_custkey""")
+  FROM orders WHERE o_orderdate <> TIMESTAMP '1998-04-25') GROUP BY o_custkey""", texts=["last_day"])
 def shift_and_recount(t: Tables):
     kept = changes.delete_where(t.dated_orders, F.col("d") == dates.day("1998-04-25")).new_state
     moved = changes.update_where(
@@ -318,3 +318,17 @@ def create_missing_users(t: Tables):
     wanted = joins.anti(t.customer, users, ["c_name"]).select("c_name").distinct()
     _, numbered = changes.insert_returning(users, wanted, "c_custkey", ["c_name"])
     return numbered.select("c_name", F.col("c_custkey").alias("user_id"))
+
+
+@query("""
+WITH b AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey), a AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus <> 'O' AND o_orderpriority <> '5-LOW' GROUP BY o_custkey)
+SELECT coalesce(b.o_custkey, a.o_custkey) AS o_custkey, CASE WHEN b.n IS NULL THEN 'INSERT' WHEN a.n IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS action,
+  '{"n":' || b.n || '}' AS before_image, '{"n":' || a.n || '}' AS after_image, 'recount' AS process FROM b FULL JOIN a ON a.o_custkey = b.o_custkey WHERE a.n IS DISTINCT FROM b.n""")
+def audit_images(t: Tables):
+    def counted(test: str):
+        return t.orders.filter(test).groupBy("o_custkey").agg(F.count("*").alias("n"))
+
+    log = changes.audit_log(
+        counted("o_orderstatus = 'F'"), counted("o_orderstatus <> 'O' AND o_orderpriority <> '5-LOW'"), ["o_custkey"], ["n"], "recount", NOW, "ME"
+    )
+    return log.select("o_custkey", "action", "before_image", "after_image", "process")

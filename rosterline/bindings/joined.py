@@ -22,7 +22,7 @@ FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o
  AND a.o_orderdate <= b.o_orderdate + INTERVAL 3 DAY AND b.o_orderdate <= a.o_orderdate + INTERVAL 3 DAY"""
 
 
-@query(OVERLAP_SQL)
+@query(OVERLAP_SQL, texts=["s1", "s2", "e1", "e2"])
 def overlap_pairs(t: Tables):
     return joins.overlap_pairs(order_windows(t), "o_custkey", "s", "e", "o_orderkey")
 
@@ -123,7 +123,7 @@ def not_in_correlated(t: Tables):
     )
 
 
-@query("SELECT l_orderkey, l_linenumber, l_shipdate, o_orderdate FROM lineitem JOIN orders ON o_orderkey = l_orderkey AND l_shipdate < o_orderdate")
+@query("SELECT l_orderkey, l_linenumber, l_shipdate, o_orderdate FROM lineitem JOIN orders ON o_orderkey = l_orderkey AND l_shipdate < o_orderdate", texts=["l_shipdate", "o_orderdate"])
 def late_events(t: Tables):
     joined = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.filter("l_shipdate < o_orderdate").select("l_orderkey", "l_linenumber", "l_shipdate", "o_orderdate")
@@ -176,12 +176,12 @@ def _first_urgent(t: Tables, how: str):
     )
 
 
-@query(f"SELECT c_custkey, o_orderkey AS first_key, CAST(o_orderdate AS DATE) AS first_day FROM customer JOIN ({FIRST_URGENT}) ON o_custkey = c_custkey AND rn = 1")
+@query(f"SELECT c_custkey, o_orderkey AS first_key, CAST(o_orderdate AS DATE) AS first_day FROM customer JOIN ({FIRST_URGENT}) ON o_custkey = c_custkey AND rn = 1", texts=["first_day"])
 def apply_top1(t: Tables):
     return _first_urgent(t, "inner")
 
 
-@query(f"SELECT c_custkey, o_orderkey AS first_key, CAST(o_orderdate AS DATE) AS first_day FROM customer LEFT JOIN ({FIRST_URGENT}) ON o_custkey = c_custkey AND rn = 1")
+@query(f"SELECT c_custkey, o_orderkey AS first_key, CAST(o_orderdate AS DATE) AS first_day FROM customer LEFT JOIN ({FIRST_URGENT}) ON o_custkey = c_custkey AND rn = 1", texts=["first_day"])
 def outer_apply_top1(t: Tables):
     return _first_urgent(t, "left")
 

@@ -40,7 +40,7 @@ def replay_range(t: Tables):
 
 
 @query("""
-SELECT CAST(ts AS DATE) AS day, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'ok' END AS part, count(*) AS n FROM events GROUP BY 1, 2""")
+SELECT CAST(ts AS DATE) AS day, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'ok' END AS part, count(*) AS n FROM events GROUP BY 1, 2""", texts=["day"])
 def quarantine_split(t: Tables):
     parts = ingest.split_errors(t.events.withColumn("day", F.col("ts").cast("date")), "event_type", ["error"])
     counted = [

@@ -50,6 +50,31 @@ def write_run(changesets: Mapping[str, ChangeSet], path: str) -> None:
         c.changes.write.mode("errorifexists").parquet(f"{path}/changes/{name}")
 
 
+def audit_log(
+    before: DataFrame, after: DataFrame, key: Sequence[str], columns: Sequence[str], process: str, at: datetime, operator: str
+) -> DataFrame:
+    """One row per changed key: action, images of ``columns`` before and after (JSON), process, time and operator.
+
+    Both states are tagged and combined per key in one aggregate; keys are unique in each state.
+    """
+
+    def tagged(df: DataFrame, name: str) -> DataFrame:
+        other = {"_before": "_after", "_after": "_before"}[name]
+        image = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+        return df.select(*key, image.alias(name), F.lit(None).cast("string").alias(other))
+
+    images = (
+        tagged(before, "_before").unionByName(tagged(after, "_after"))
+        .groupBy(*key).agg(F.max("_before").alias("before_image"), F.max("_after").alias("after_image"))
+        .filter(~F.col("before_image").eqNullSafe(F.col("after_image")))
+    )
+    action = F.when(F.col("before_image").isNull(), "INSERT").when(F.col("after_image").isNull(), "DELETE").otherwise("UPDATE")
+    return images.select(
+        *key, action.alias("action"), "before_image", "after_image", F.lit(process).alias("process"), moment(at).alias("changed_at"),
+        F.lit(operator).alias("operator"),
+    )
+
+
 def with_audit(df: DataFrame, as_of: datetime, operator: Column | str) -> DataFrame:
     """Create and revision columns of an inserted row."""
     who = F.lit(operator) if isinstance(operator, str) else operator

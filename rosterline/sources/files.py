@@ -21,6 +21,15 @@ DIALING_CODES = T.StructType(
     ]
 )
 
+FORM_DEFINITIONS = T.StructType(
+    [
+        T.StructField(name, T.StringType())
+        for name in (
+            "TypeFlag", "FormId", "GetStatuses", "SetStatus", "XSLT", "OutputPath", "ImageFileName", "Autofile", "TestMode", "DeleteIndex",
+        )
+    ]
+)
+
 # The record element of a forms export and the fields its index line holds.
 FORM_RECORD = "DynamicForm"
 FORM_FIELDS = ("zNGImageName", "PEOPLE_CODE_ID", "EmailAddress")

@@ -88,6 +88,23 @@ def append_batches(path: str):
     return write
 
 
+def merge_batches(path: str, key: Sequence[str], version: Sequence[str]):
+    """A batch writer that keeps the latest version per key.
+
+    Batch n reads the state of batch n - 1 and writes its own, so a repeat of a
+    batch writes the same state again. The current state is the highest
+    ``state=`` folder.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        rows = df
+        if batch_id > 0:
+            rows = rows.unionByName(df.sparkSession.read.parquet(f"{path}/state={batch_id - 1}"))
+        latest_versions(rows, key, version).write.mode("overwrite").parquet(f"{path}/state={batch_id}")
+
+    return write
+
+
 def dedupe_overlap(stream: DataFrame, key: Sequence[str], event_time: str, window: str = "8 days") -> DataFrame:
     """Rows that each run pulls again are dropped; state is bounded by the watermark."""
     if stream.isStreaming:

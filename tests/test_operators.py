@@ -269,6 +269,16 @@ def test_gate_and_run_path(spark, tmp_path):
         changes.write_run({"t": done}, str(tmp_path / "run"))
 
 
+def test_audit_log(spark):
+    before = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "c", "y")], "k int, v string, w string")
+    after = spark.createDataFrame([(1, "a", None), (2, "b", None), (4, "d", "z")], "k int, v string, w string")
+    log = changes.audit_log(before, after, ["k"], ["v", "w"], "job", dt.datetime(2020, 1, 1), "ME")
+    assert {(r.k, r.action, r.before_image, r.after_image) for r in log.collect()} == {
+        (2, "UPDATE", '{"v":"b","w":"x"}', '{"v":"b","w":null}'), (3, "DELETE", '{"v":"c","w":"y"}', None), (4, "INSERT", None, '{"v":"d","w":"z"}'),
+    }
+    assert changes.audit_log(before, before, ["k"], ["v"], "job", dt.datetime(2020, 1, 1), "ME").count() == 0
+
+
 def test_backfill_gives_a_key_once(spark):
     target = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "b", 10), (4, "b", None), (5, "c", None)], "id int, who string, key int")
     candidates = spark.createDataFrame([("a", 11, 2), ("a", 12, 1), ("b", 10, 1), ("c", 13, 1)], "w string, k int, o int")

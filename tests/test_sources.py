@@ -82,6 +82,25 @@ def test_landed_files_are_consumed_once(spark, tmp_path):
     assert everything.count() == 2
 
 
+def test_landed_updates_replace_earlier_versions(spark, tmp_path):
+    land, out, mark = tmp_path / "land", str(tmp_path / "out"), str(tmp_path / "mark")
+    land.mkdir()
+
+    def run():
+        stream = ingest.applications(ingest.landed_csv(spark, str(land), SCHEMA))
+        ingest.run_available(stream, mark, ingest.merge_batches(out, ["applicationId"], ["landed_at", "score"]))
+
+    (land / "DICAS_i_o_p_app1_c1.csv").write_text("name,score\nann,1\n")
+    (land / "DICAS_i_o_p_app2_c1.csv").write_text("name,score\nbob,5\n")
+    run()
+    (land / "DICAS_i_o_p2_app1_c1.csv").write_text("name,score\nann,2\n")
+    run()
+    run()
+    states = spark.read.parquet(out)
+    assert states.agg(F.max("state")).collect()[0][0] == 1
+    assert {(r.applicationId, r.score) for r in states.filter("state = 1").collect()} == {("app1", "2"), ("app2", "5")}
+
+
 def test_opaque_files_give_names(spark, tmp_path):
     land, out = tmp_path / "docs", str(tmp_path / "names")
     land.mkdir()
