@@ -15,7 +15,8 @@ recall against brute force is over 0.9 (see README); scores and order of what is
 
 Null or zero vectors, those with null or non-finite components, of another length than ``dims`` (by default the
 commonest length), and rows with a null id take no part. Repeated ids are separate candidates, except that a query never
-finds its own id. With fewer candidates than ``k`` all of those are returned where the tables find them; an empty table
+finds its own id. Where the tables of a shard give too few rows, all of the shard are candidates: with fewer than ``k`` other rows all
+of those are returned. An empty table
 gives an empty result. Other columns are not read.
 """
 
@@ -90,6 +91,7 @@ class Shard:
             candidate = np.zeros((len(own), len(self.ids)), bool)
             for table, axes in enumerate(self.axes):
                 candidate |= probed_axes(units, table, probes)[:, axes]
+            candidate[candidate.sum(1) <= k] = True  # tables that give too few rows give all of the shard
             candidate &= own[:, None] != self.ids[None, :]
             rough = np.where(candidate, units @ self.units.T, -np.inf)
             kth = np.partition(rough, -k, axis=1)[:, -k] if rough.shape[1] > k else np.full(len(own), -np.inf)
