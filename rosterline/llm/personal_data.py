@@ -27,7 +27,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
 }
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9}
 CONTEXT = {
@@ -68,7 +68,14 @@ def mod97(value: Column) -> Column:
     return F.aggregate(turned, F.lit(0), step, lambda acc: acc == 1)
 
 
-def confirmed(kind: str, value: Column) -> Column:
+def alone(text: Column, span: Column) -> Column:
+    """Whether no letter or digit stands beside a span."""
+    beside = F.concat(F.substring(text, span["start"], F.when(span["start"] > 0, 1).otherwise(0)), F.substring(text, span["end"] + 1, F.lit(1)))
+    return ~beside.rlike("[A-Za-z0-9]")
+
+
+def confirmed(kind: str, text: Column, span: Column) -> Column:
+    value = span["value"]
     if kind == "ip":
         # Compared as text without leading zeros: a part may be longer than any number type.
         significant = lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "")
@@ -78,7 +85,7 @@ def confirmed(kind: str, value: Column) -> Column:
     if kind == "phone":
         return F.length(digits_of(value)).between(9, 15)
     if kind == "iban":
-        return mod97(F.replace(value, F.lit(" "), F.lit("")))
+        return alone(text, span) & mod97(F.replace(value, F.lit(" "), F.lit("")))
     return F.lit(True)
 
 
@@ -97,7 +104,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach:
     df = df.select("doc_id", "text", *[spans.placed(F.col("text"), F.col(f"m_{k}"), p).alias(k) for k, p in PATTERNS.items()])
 
     def kept(kind):
-        return F.filter(F.col(kind), lambda s: confirmed(kind, s["value"]))
+        return F.filter(F.col(kind), lambda s: confirmed(kind, F.col("text"), s))
 
     df = df.select("doc_id", "text", *[kept(k).alias(k) for k in PATTERNS])
 
