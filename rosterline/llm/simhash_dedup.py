@@ -145,6 +145,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row of each group: the row whose id names the component, and one of them if the id repeats. All columns stay."""
     found = base.staged(groups(docs, id_col, text_col, width), "groups")
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("copies"))
-    kept = docs.join(first.select(F.col("doc_id").alias("_kept")), F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    # By the frames' own columns: ``docs`` may hold columns of any name.
+    kept = docs.join(first, docs[id_col].cast("long").eqNullSafe(first["doc_id"]), "left_semi")
     # Only a table whose ids repeat needs another exchange.
     return kept.dropDuplicates([id_col]) if first.filter("copies > 1").limit(1).count() else kept
