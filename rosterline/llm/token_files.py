@@ -2,7 +2,8 @@
 
 A data set is a folder of two kinds of files:
 
-* ``ids-<shard>-<part>.bin``: ids of documents one after the other, little-endian unsigned 32-bit, nothing else. Shards
+* ``ids-<shard>-<part>.bin``: ids of documents one after the other, little-endian unsigned, 16 bits where the vocabulary
+  fits and else 32 (``files.json`` tells), nothing else. Shards
   are ranges of keys in ascending order, parts cut a shard at ``part_bytes``; all files in name order hold all
   documents in key order.
 * ``index-<n>.mph``: an index of the keys whose hash falls to ``n``. A minimal perfect hash (buckets with a displacement
@@ -37,51 +38,83 @@ from pyspark.sql import functions as F
 
 from rosterline.llm import base
 
-#: str.split() also cuts at these four, which the tokenizer does not count as white space.
-SEPARATORS = re.compile("[\x1c-\x1f]")
-SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: The tokenizer's white space, and words in which it finds one stretch of letters and then, at most, these signs.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+WORD = re.compile(f"[{LETTERS}]+(?=[{SPACE}.,;:!?]|$)|[^{SPACE}]+")
+PLAIN = re.compile(f"[{LETTERS}]+")
 SLOT = np.dtype([("print", "<u8"), ("file", "<u4"), ("offset", "<u8"), ("n", "<u4")])
 HEAD = np.dtype([("keys", "<u8"), ("buckets", "<u8"), ("seed", "<u8")])
 
 
 class WordIds:
-    """Ids of the tokenizers library, word by word: no token spans white space, so words are encoded once and remembered."""
+    """Ids of the tokenizers library, word by word.
 
-    def __init__(self, tokenizer_path: str, memo: int = 400_000):
+    No token spans white space or the border between letters and the signs behind them, so words are encoded once and
+    remembered. Plain words are encoded many at a time, told apart by the library's own word numbers.
+    """
+
+    def __init__(self, tokenizer_path: str, width: int, memo: int = 400_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_path)
+        self.kind = f"<u{width}"
         self.words: dict[str, bytes] = {}
         self.memo = memo
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """uint32 ids of each whole text."""
-        split = [[w for w in SPACE.split(t) if w] if SEPARATORS.search(t) else t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.words})
-        if len(self.words) + len(new) > self.memo:
+    def _learn(self, new: list[str]) -> None:
+        plain = [w for w in new if PLAIN.fullmatch(w)]
+        rest = [w for w in new if not PLAIN.fullmatch(w)]
+        for at in range(0, len(plain), 2000):
+            part = plain[at : at + 2000]
+            found = self.library.encode(" ".join(part), add_special_tokens=False)
+            data = np.array(found.ids, self.kind).tobytes()
+            cuts = np.flatnonzero(np.diff(np.array(found.word_ids))) + 1
+            if len(cuts) != len(part) - 1:
+                rest += part
+                continue
+            ends = (cuts * int(self.kind[2])).tolist()
+            for word, i, j in zip(part, [0, *ends], [*ends, len(data)]):
+                self.words[word] = data[i:j]
+        for word, found in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
+            self.words[word] = np.array(found.ids, self.kind).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each whole text."""
+        split = [WORD.findall(t) for t in texts]
+        every = {w for words in split for w in words}
+        if len(self.words) + len(every) > self.memo:
             self.words.clear()
-            new = list({w for words in split for w in words})
-        for word, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.words[word] = np.array(found.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<u4") for words in split]
+        self._learn([w for w in every if w not in self.words])
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
+
+def id_width(tokenizer_path: str, end_id: int) -> int:
+    """Bytes of an id in the files."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, width: int) -> WordIds:
+    return WordIds(path, width)
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids (binary, little-endian uint32, end id last), order (of equal keys)."""
+def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, cuts: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids (binary, end id last), order (of equal keys), shard (number of ``cuts`` below the key)."""
+    width = id_width(tokenizer_path, end_id)
 
     def body(batch):
-        own, end = word_ids(tokenizer_path), np.array([end_id], "<u4").tobytes()
-        values = base.texts(batch)
-        ids = [x.tobytes() + end for x in own.encode(values)]
-        order = [xxhash.xxh64_intdigest(x.encode(), 7) >> 1 for x in values]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(order, pa.int64())], ["doc_id", "ids", "order"])
+        own, end = word_ids(tokenizer_path, width), end_id.to_bytes(width, "little")
+        values, keys = base.texts(batch), batch.column("doc_id")
+        ids = [x + end for x in own.encode(values)]
+        order = [xxhash.xxh64_intdigest(x, 7) >> 1 for x in ids]
+        shard = np.where(keys.is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(cuts, keys.fill_null(0).to_numpy(), side="left"))
+        columns = [keys, pa.array(ids, pa.binary()), pa.array(order, pa.int64()), pa.array(shard, pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "order", "shard"])
 
-    return base.map_batches(base.keyed_text(docs, id_col, text_col), body, "doc_id long, ids binary, order long")
+    return base.map_batches(base.keyed_text(docs, id_col, text_col), body, "doc_id long, ids binary, order long, shard int")
 
 
 def _open(folder: str):
@@ -94,7 +127,7 @@ def bounds(docs: DataFrame, shards: int, id_col: str = "doc_id") -> list[int]:
     return sorted({int(c) for c in cuts})
 
 
-def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", rows_per_shard: int = 4096, part_bytes: int = 1 << 28) -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", rows_per_shard: int = 4096, part_bytes: int = 1 << 28, keys_per_index: int = 50_000) -> DataFrame:
     """Write the data set; returns file (number in name order), name, first (ids in files before), n_ids, n_docs of each file."""
     spark = docs.sparkSession
     files, path = _open(folder)
@@ -103,13 +136,8 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
     # Bounds grow with the table, but slowly: larger shards from a million rows on.
     shards = int(max(1, min(rows / rows_per_shard, 256 + (rows / (256 * rows_per_shard)) ** 0.5 * 16)))
     cuts = np.array(bounds(docs, shards, id_col) if shards > 1 else [], np.int64)
-    coded = encoded(docs, tokenizer_path, end_id, id_col, text_col)
-
-    def shard_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.where(keys.isna(), 0, np.searchsorted(cuts, keys.fillna(0).astype("int64"), side="left")), dtype="int32")
-
-    shard = F.pandas_udf(shard_of, "int")(F.col("doc_id"))
-    dealt = coded.withColumn("shard", shard).repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "order")
+    coded, width = encoded(docs, tokenizer_path, end_id, cuts, id_col, text_col), id_width(tokenizer_path, end_id)
+    dealt = coded.repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "order")
 
     def store(batches):
         store_files, root = _open(folder)
@@ -134,7 +162,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
                 occurrence = occurrence + 1 if key == last_key else 0
                 last_key = key
                 stream.write(ids)
-                rows_out.append((key, occurrence, name, offset, len(ids) // 4))
+                rows_out.append((key, occurrence, name, offset, len(ids) // width))
                 offset += len(ids)
             out = pd.DataFrame(rows_out, columns=["doc_id", "occurrence", "name", "offset", "n"])
             rows_out = []
@@ -149,9 +177,9 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
         table.append((k, r["name"], first, r["n_ids"], r["n_docs"]))
         first += r["n_ids"]
     listing = spark.createDataFrame(table, "file int, name string, first long, n_ids long, n_docs long")
-    _write_index(placed.join(listing.select("name", "file"), "name"), folder, max(1, rows // 1_000_000 + 1))
+    _write_index(placed.join(listing.select("name", "file"), "name"), folder, rows // keys_per_index + 1)
     with files.open_output_stream(f"{path}/files.json") as stream:
-        stream.write(json.dumps([[n, f] for _, n, f, _, _ in table]).encode())
+        stream.write(json.dumps({"width": width, "files": [[n, f] for _, n, f, _, _ in table]}).encode())
     return listing
 
 
@@ -226,10 +254,11 @@ def _write_index(placed: DataFrame, folder: str, parts: int) -> None:
         return pd.DataFrame({"part": [int(key[0])], "keys": [len(group)]})
 
     part = index_part(parts)
-    built = placed.withColumn("part", part).groupBy("part").applyInPandas(build, "part int, keys long").agg(F.sum("keys")).first()[0] or 0
+    built = placed.withColumn("part", part).groupBy("part").applyInPandas(build, "part int, keys long")
+    full = sorted(r["part"] for r in built.select("part").collect())
     files, root = _open(folder)
     with files.open_output_stream(f"{root}/index.json") as stream:
-        stream.write(json.dumps({"parts": parts, "keys": built}).encode())
+        stream.write(json.dumps({"parts": parts, "full": full}).encode())
 
 
 def index_part(parts: int):
@@ -262,15 +291,18 @@ def look_up(keys: DataFrame, folder: str) -> DataFrame:
     """doc_id, occurrence, name, first, offset, n for the keys (doc_id, occurrence) that the data set holds."""
     files, root = _open(folder)
     with files.open_input_stream(f"{root}/index.json") as stream:
-        parts = json.loads(stream.read())["parts"]
+        head = json.loads(stream.read())
+    parts, full = head["parts"], set(head["full"])
 
     def find(batches):
         store, own_root = _open(folder)
         with store.open_input_stream(f"{own_root}/files.json") as stream:
-            names = json.loads(stream.read())
+            names = json.loads(stream.read())["files"]
         kept: dict[int, Index] = {}
         for batch in batches:
             for part, group in batch.to_pandas().groupby("part"):
+                if int(part) not in full:
+                    continue
                 if part not in kept:
                     kept.clear()
                     kept[part] = Index(folder, int(part))
@@ -287,7 +319,10 @@ def look_up(keys: DataFrame, folder: str) -> DataFrame:
 
 
 def read(places: DataFrame, folder: str) -> DataFrame:
-    """doc_id, occurrence, start (ids of all documents before), ids (binary) from the files, by ``look_up``'s places."""
+    """doc_id, occurrence, start (ids of all documents before), ids (binary, 32 bits each) by ``look_up``'s places."""
+    driver_files, driver_root = _open(folder)
+    with driver_files.open_input_stream(f"{driver_root}/files.json") as stream:
+        width = json.loads(stream.read())["width"]
 
     def fetch(batches):
         files, root = _open(folder)
@@ -298,8 +333,8 @@ def read(places: DataFrame, folder: str) -> DataFrame:
                 if own != name:
                     name, stream = own, files.open_input_file(f"{root}/{own}")
                 stream.seek(offset)
-                ids.append(stream.read(4 * n))
-                starts.append(first + offset // 4)
+                ids.append(np.frombuffer(stream.read(width * n), f"<u{width}").astype("<u4").tobytes())
+                starts.append(first + offset // width)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("occurrence"), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "occurrence", "start", "ids"])
 
     return places.repartition(F.col("name")).sortWithinPartitions("name", "offset").mapInArrow(fetch, "doc_id long, occurrence long, start long, ids binary")

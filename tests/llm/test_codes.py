@@ -99,10 +99,12 @@ def test_token_file_edge_cases(awkward, empty, tmp_path):
 
 def test_small_parts_and_missing_keys(spark, docs, tmp_path):
     folder = f"file://{tmp_path}/parts"
-    listing = token_files.write(docs, folder, WORDS, 2, rows_per_shard=50, part_bytes=20_000)
+    listing = token_files.write(docs, folder, WORDS, 2, rows_per_shard=50, part_bytes=20_000, keys_per_index=30)
     assert listing.count() > 4
     asked = spark.createDataFrame([(0, 0), (199, 0), (5, 1), (10**9, 0), (None, 0)], "doc_id long, occurrence long")
     assert sorted(r.doc_id for r in token_files.look_up(asked, folder).collect()) == [0, 199]
+    every = docs.selectExpr("doc_id", "0 AS occurrence")
+    assert token_files.read(token_files.look_up(every, folder), folder).count() == docs.count()
     names = {p.name for p in (tmp_path / "parts").iterdir()}
     assert not [n for n in names if n.startswith(".")]
 
