@@ -417,11 +417,14 @@ NEW_INFO = "NEW_Reported1098TInformation"
 
 
 @plan("""WITH i AS (SELECT ReportedInformationId FROM (SELECT *, rank() OVER (PARTITION BY People_Code_Id ORDER BY ReportedInformationId DESC) AS rk FROM Reported1098TInformation WHERE TaxYear = 1998) WHERE rk = 1),
- s AS (SELECT ReportedPeriodSummaryId FROM Reported1098TPeriodSummary WHERE ReportedInformationId IN (SELECT * FROM i)),
- d AS (SELECT ReportedSummaryDetailId FROM Reported1098TSummaryDetail WHERE ReportedPeriodSummaryId IN (SELECT * FROM s UNION ALL SELECT ReportedPeriodSummaryId FROM NEW_Reported1098TPeriodSummary))
-SELECT 'information' AS table_name, count(*) AS n, CAST(sum(ReportedInformationId) AS BIGINT) AS key_sum FROM i UNION ALL SELECT 'summary', count(*), CAST(sum(ReportedPeriodSummaryId) AS BIGINT) FROM s
+ allof AS (SELECT ReportedPeriodSummaryId FROM Reported1098TPeriodSummary WHERE ReportedInformationId IN (SELECT * FROM i)),
+ ni AS (SELECT * FROM i EXCEPT SELECT ReportedInformationId FROM NEW_Reported1098TInformation),
+ s AS (SELECT * FROM allof EXCEPT SELECT ReportedPeriodSummaryId FROM NEW_Reported1098TPeriodSummary),
+ d AS (SELECT ReportedSummaryDetailId FROM Reported1098TSummaryDetail WHERE ReportedPeriodSummaryId IN (SELECT * FROM allof) EXCEPT SELECT ReportedSummaryDetailId FROM NEW_Reported1098TSummaryDetail),
+ r AS (SELECT ReportedRefundCodeId FROM Reported1098TRefundCode EXCEPT SELECT ReportedRefundCodeId FROM NEW_Reported1098TRefundCode)
+SELECT 'information' AS table_name, count(*) AS n, CAST(sum(ReportedInformationId) AS BIGINT) AS key_sum FROM ni UNION ALL SELECT 'summary', count(*), CAST(sum(ReportedPeriodSummaryId) AS BIGINT) FROM s
 UNION ALL SELECT 'detail', count(*), CAST(sum(ReportedSummaryDetailId) AS BIGINT) FROM d
-UNION ALL SELECT 'refund', count(*), CAST(sum(ReportedRefundCodeId) AS BIGINT) FROM Reported1098TRefundCode WHERE ReportedRefundCodeId > 4""")
+UNION ALL SELECT 'refund', count(*), CAST(sum(ReportedRefundCodeId) AS BIGINT) FROM r""")
 def copy_tax_forms(t):
     copied = quality.copy_tax_forms(t, "old", "new", 1998)
     keys = {
@@ -569,7 +572,7 @@ def late_registrant_absences(t):
 @plan(f"""WITH c AS (SELECT {', '.join('cd.' + c for c in KEY6.split(', '))}, CALENDAR_DATE, first(CALENDAR_KEY ORDER BY START_TIME, CALENDAR_KEY) AS k FROM CALENDARDETAIL cd JOIN CALENDAR ca ON ca.EVENT_KEY = cd.EVENT_KEY GROUP BY ALL),
  w AS (SELECT ta.PEOPLE_CODE_ID, {', '.join('ta.' + c for c in KEY6.split(', '))}, k, max(TranAttendanceId) AS id FROM TRANATTENDANCE ta JOIN c USING ({KEY6}) WHERE CALENDAR_DATE = ATTENDANCE_DATE AND CalendarKey IS NULL GROUP BY ALL)
 SELECT id AS TranAttendanceId, k AS CalendarKey FROM w WHERE NOT EXISTS (SELECT 1 FROM TRANATTENDANCE x WHERE x.PEOPLE_CODE_ID = w.PEOPLE_CODE_ID AND x.EVENT_ID = w.EVENT_ID AND x.SECTION = w.SECTION
-  AND x.ACADEMIC_YEAR = w.ACADEMIC_YEAR AND x.ACADEMIC_TERM = w.ACADEMIC_TERM AND x.CalendarKey = w.k) ORDER BY id DESC LIMIT 3000""")
+  AND x.ACADEMIC_YEAR = w.ACADEMIC_YEAR AND x.ACADEMIC_TERM = w.ACADEMIC_TERM AND x.CalendarKey = w.k)""")
 def fill_calendar_key(t):
     return writers.fill_calendar_key(t).changes.select("TranAttendanceId", "CalendarKey")
 

@@ -193,8 +193,7 @@ def guarded_purge(t: Tables):
 WITH c AS (SELECT o_custkey, min_by(o_orderkey, (o_orderdate, o_orderkey)) AS k FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey),
  e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day, CASE WHEN event_type = 'error' THEN k END AS order_key, k FROM events JOIN c ON o_custkey = user_id),
  w AS (SELECT user_id, day, k, max(event_id) AS event_id FROM e WHERE order_key IS NULL GROUP BY ALL)
-SELECT event_id, k AS order_key FROM w WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.user_id = w.user_id AND e.day = w.day AND e.order_key = w.k)
-ORDER BY event_id DESC LIMIT 3000""")
+SELECT event_id, k AS order_key FROM w WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.user_id = w.user_id AND e.day = w.day AND e.order_key = w.k)""")
 def bounded_backfill(t: Tables):
     partial = t.dated_orders.filter("o_orderstatus = 'P'")
     order = [F.col("d"), F.col("o_orderkey")]
@@ -202,7 +201,7 @@ def bounded_backfill(t: Tables):
     first = joins.first_match(events, partial, {"user_id": "o_custkey"}, order, {"k": "o_orderkey"}, "left")
     target = first.select("event_id", "user_id", "day", F.when(F.col("event_type") == "error", F.col("k")).alias("order_key"))
     return batch.backfill_key(
-        target, "order_key", "event_id", partial, {"user_id": "o_custkey"}, "o_orderkey", order, ["user_id", "day"], 3000
+        target, "order_key", "event_id", partial, {"user_id": "o_custkey"}, "o_orderkey", order, ["user_id", "day"]
     ).changes.select("event_id", "order_key")
 
 

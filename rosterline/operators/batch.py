@@ -51,9 +51,9 @@ def backfill_key(
     candidate_key: str,
     order: Sequence[Column],
     owner: Sequence[str],
-    limit: int,
+    limit: int | None = None,
 ) -> ChangeSet:
-    """Fill a missing key with the first candidate, newest rows first, at most ``limit`` rows.
+    """Fill a missing key with the first candidate: every row, or the newest ``limit`` rows where a caller wants batches.
 
     A candidate key already held by the same owner is not used again, and of
     several rows of one owner that would get the same key the newest wins.
@@ -62,7 +62,7 @@ def backfill_key(
     matched = first_match(open_rows, candidates, on, order, {"_new_key": candidate_key})
     free = anti(matched, target.filter(F.col(key).isNotNull()), {**{c: c for c in owner}, "_new_key": key})
     winners = free.groupBy(*owner, "_new_key").agg(F.max(row_id).alias("_id")).select("_id", "_new_key")
-    chosen = top_k(winners, [F.col("_id").desc()], limit)
+    chosen = winners if limit is None else top_k(winners, [F.col("_id").desc()], limit)
     joined = target.join(chosen, target[row_id] == chosen["_id"], "left")
     filled = F.coalesce(F.col("_new_key").cast(target.schema[key].dataType), target[key]).alias(key)
     result = joined.select(*[filled if c == key else target[c] for c in target.columns], F.col("_id").isNotNull().alias("_hit"))

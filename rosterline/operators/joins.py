@@ -221,12 +221,12 @@ def text_match(
 
 
 def prefix_lookup(
-    df: DataFrame, number: str, codes: DataFrame, prefix: str, length: str, value: str, name: str, max_prefix: int = 10
+    df: DataFrame, number: str, codes: DataFrame, prefix: str, length: str, value: str, name: str
 ) -> DataFrame:
     """Value of the longest code whose length equals the number's and whose prefix begins it.
 
-    One equality join per prefix length that occurs (at most ``max_prefix``
-    lengths, read from the code table), longest first. Each is on (length,
+    One equality join per prefix length that occurs (read
+    from the code table), longest first. Each is on (length,
     leading digits) against one row per key, so there is no range join.
     """
     keyed = codes.select(
@@ -234,8 +234,6 @@ def prefix_lookup(
     )
     unique = keyed.groupBy("_p", "_n").agg(F.min("_v").alias("_v"))
     sizes = sorted((r[0] for r in keyed.select(F.length("_p")).distinct().collect()), reverse=True)
-    if sizes and sizes[0] > max_prefix:
-        raise ValueError(f"prefixes are limited to {max_prefix} characters")
     out, hits = df, []
     for size in sizes:
         codes_k = unique.filter(F.length("_p") == size).select(

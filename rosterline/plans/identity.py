@@ -113,14 +113,14 @@ def sync_identity(t: TableRegistry, application: str, operator_roles: Mapping[st
 
 
 def grant_all(t: TableRegistry, role: str, db: str, application_id: int | None = None) -> dict[str, ChangeSet]:
-    """Give one role every claim (of one application when given) and every site-map entry."""
+    """Give one role every claim (of one application when given) and every site-map entry; an unknown role gets nothing."""
     of_app = F.lit(True) if application_id is None else F.col("ApplicationId") == application_id
     role_id = t.table("AppRole", db).filter((F.col("Name") == role) & of_app).agg(F.max("AppRoleId").alias("r")).scalar()
-    claims = t.table("AppClaim", db).filter(of_app).select(role_id.alias("AppRoleId"), "AppClaimId")
+    claims = t.table("AppClaim", db).filter(of_app).select(role_id.alias("AppRoleId"), "AppClaimId").filter("AppRoleId IS NOT NULL")
     site_role = t["SiteMapRole"].filter(F.col("RoleName") == role).agg(F.max("SiteMapRoleId").alias("r")).scalar()
 
     def entries(table: str, key: str) -> DataFrame:
-        return t[table].select(key, site_role.alias("SiteMapRoleId"), F.lit(True).alias("IsVisible"))
+        return t[table].select(key, site_role.alias("SiteMapRoleId"), F.lit(True).alias("IsVisible")).filter("SiteMapRoleId IS NOT NULL")
 
     return {
         "AppRoleClaim": changes.insert_missing(t.table("AppRoleClaim", db), claims, ["AppRoleId", "AppClaimId"]),

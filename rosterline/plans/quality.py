@@ -95,14 +95,16 @@ INFORMATION, SUMMARY, DETAIL, REFUND = (
 )
 
 
-def copy_tax_forms(t: TableRegistry, old: str, new: str, tax_year: int, after_refund_code: int = 4) -> dict[str, ChangeSet]:
-    """Copy each person's last run of a tax year, with its summaries and details, keeping the ids."""
+def copy_tax_forms(t: TableRegistry, old: str, new: str, tax_year: int) -> dict[str, ChangeSet]:
+    """Copy each person's last run of a tax year, with its summaries and details, keeping the ids; what the new side has by its id is not copied again."""
     runs = t.table(INFORMATION, old).filter(F.col("TaxYear") == tax_year)
     latest = ranking.last_per_key(runs, ["People_Code_Id"], [F.col("ReportedInformationId")])
-    info = changes.append(t.table(INFORMATION, new), latest)
-    summary = changes.append(t.table(SUMMARY, new), joins.semi(t.table(SUMMARY, old), latest, ["ReportedInformationId"]))
-    detail = changes.append(t.table(DETAIL, new), joins.semi(t.table(DETAIL, old), summary.new_state, ["ReportedPeriodSummaryId"]))
-    refund = changes.append(t.table(REFUND, new), t.table(REFUND, old).filter(F.col("ReportedRefundCodeId") > after_refund_code))
+    periods = joins.semi(t.table(SUMMARY, old), latest, ["ReportedInformationId"])
+    info = changes.insert_missing(t.table(INFORMATION, new), latest, ["ReportedInformationId"])
+    summary = changes.insert_missing(t.table(SUMMARY, new), periods, ["ReportedPeriodSummaryId"])
+    details = joins.semi(t.table(DETAIL, old), periods, ["ReportedPeriodSummaryId"])
+    detail = changes.insert_missing(t.table(DETAIL, new), details, ["ReportedSummaryDetailId"])
+    refund = changes.insert_missing(t.table(REFUND, new), t.table(REFUND, old), ["ReportedRefundCodeId"])
     return {INFORMATION: info, SUMMARY: summary, DETAIL: detail, REFUND: refund}
 
 

@@ -95,4 +95,10 @@ def find_value(
             F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("instances")) for i, c in enumerate(searched)]))
         ).select(F.lit(name).alias("table_name"), "column_name", "instances")
         out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        if not tables:
+            raise ValueError("no tables to search")
+        # No table qualifies: nothing is found.
+        any_table = next(iter(tables.values()))
+        return any_table.sparkSession.createDataFrame([], "table_name string, column_name string, instances long")
     return out.filter("instances > 0")

@@ -163,7 +163,7 @@ def test_canceled_section_message(spark):
     messages = notices.section_canceled(reg, "self@x.edu")
     bodies = {r.uniqueKey: r.body for r in messages.collect()}
     assert bodies["k1"] == "Dear Ann: ENG 101 ABC/Lecture/D01-LONG (Reading & <Writing>) is off."
-    assert bodies["k2"] == "Dear Bob: 01/ENG 101 ABC/Lec... is off."
+    assert bodies["k2"] == "Dear Bob: 01/ENG 101 ABC/Lec is off."
     assert bodies["k3"] == "Dear HOUSEHOLD: (unknown) is off." and "k4" not in bodies
     queued = notices.queue_messages(reg, messages, NOW)
     done = notices.complete_actions(reg, queued["result"], NOW, "P000000000")
