@@ -111,7 +111,7 @@ def test_small_parts_and_missing_keys(spark, docs, tmp_path):
 
 @pytest.mark.parametrize("n", [1, 2, 5, 1000, 20_000])
 def test_perfect_hash_is_minimal(n):
-    hashes = np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    hashes = np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64)
     hashes = np.unique(hashes)
     shift, slots = token_files.build_mph(hashes)
     assert sorted(slots.tolist()) == list(range(len(hashes)))
