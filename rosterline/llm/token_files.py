@@ -38,10 +38,11 @@ from pyspark.sql import functions as F
 
 from rosterline.llm import base
 
-#: The tokenizer's white space, and words in which it finds one stretch of letters and then, at most, these signs.
+#: The tokenizer's white space, and words in which it finds one stretch of letters: one that white space or an ASCII
+#: sign or digit follows. The rest, up to white space, starts at a border of the tokenizer's.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-WORD = re.compile(f"[{LETTERS}]+(?=[{SPACE}.,;:!?]|$)|[^{SPACE}]+")
+WORD = re.compile(f"[{LETTERS}]+(?=[{SPACE}!-@\\[-`{{-~]|$)|[^{SPACE}]+")
 PLAIN = re.compile(f"[{LETTERS}]+")
 SLOT = np.dtype([("print", "<u8"), ("file", "<u4"), ("offset", "<u8"), ("n", "<u4")])
 HEAD = np.dtype([("keys", "<u8"), ("buckets", "<u8"), ("seed", "<u8")])
@@ -51,38 +52,44 @@ class WordIds:
     """Ids of the tokenizers library, word by word.
 
     No token spans white space or the border between letters and the signs behind them, so words are encoded once and
-    remembered. Plain words are encoded many at a time, told apart by the library's own word numbers.
+    remembered. Plain words are encoded many at a time in small letters (as the tokenizer has them), told apart by the
+    tokens that end a word.
     """
 
     def __init__(self, tokenizer_path: str, width: int, memo: int = 400_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_path)
-        self.kind = f"<u{width}"
+        vocabulary = self.library.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.width, self.kind = width, f"<u{width}"
         self.words: dict[str, bytes] = {}
         self.memo = memo
 
     def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if PLAIN.fullmatch(w)]
-        rest = [w for w in new if not PLAIN.fullmatch(w)]
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            found = self.library.encode(" ".join(part), add_special_tokens=False)
-            data = np.array(found.ids, self.kind).tobytes()
-            cuts = np.flatnonzero(np.diff(np.array(found.word_ids))) + 1
-            if len(cuts) != len(part) - 1:
+        small = {w: w.lower() for w in new if PLAIN.fullmatch(w)}
+        rest = [w for w in new if w not in small]
+        plain = [w for w in set(small.values()) if w not in self.words]
+        for at in range(0, len(plain), 500):
+            part = plain[at : at + 500]
+            ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * self.width).tolist()
+            data = ids.tobytes()
+            if len(ends) != len(part) or ends[-1] != len(data):
                 rest += part
                 continue
-            ends = (cuts * int(self.kind[2])).tolist()
-            for word, i, j in zip(part, [0, *ends], [*ends, len(data)]):
+            for word, i, j in zip(part, [0, *ends], ends):
                 self.words[word] = data[i:j]
         for word, found in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
             self.words[word] = np.array(found.ids, self.kind).tobytes()
+        for word, key in small.items():
+            self.words[word] = self.words[key]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text."""
         split = [WORD.findall(t) for t in texts]
-        every = {w for words in split for w in words}
+        every = set().union(*split)
         if len(self.words) + len(every) > self.memo:
             self.words.clear()
         self._learn([w for w in every if w not in self.words])
