@@ -122,3 +122,11 @@ def test_perfect_hash_is_minimal(n):
 def test_memo_never_changes_results():
     memo = base.Remembered(lambda x: x * 2, 3)
     assert [memo[i % 7] for i in range(50)] == [2 * (i % 7) for i in range(50)] and len(memo) <= 3
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aB'é1 .<|>$\u0301\u017fSt\n-ÀΣ中", max_size=40))
+def test_word_ids_equal_the_library(text):
+    own = token_files.word_ids(WORDS, 2)
+    for t in (text, text + "x<|endoftext|>'s", text.upper()):
+        assert own.encode([t])[0] == np.array(own.library.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
