@@ -528,7 +528,7 @@ STOPS = """req AS (SELECT DISTINCT 'P' || lpad(CAST(o_custkey AS VARCHAR), 9, '0
  ok AS (SELECT * FROM req WHERE reason IN (SELECT CODE_VALUE_KEY FROM CODE_STOPLIST WHERE STATUS <> 'I') AND pid IN (SELECT PEOPLE_CODE_ID FROM PEOPLE)),
  new AS (SELECT * FROM ok WHERE NOT EXISTS (SELECT 1 FROM STOPLIST s WHERE s.PEOPLE_CODE_ID = pid AND s.STOP_REASON = reason AND (s.CLEARED = 'N' OR s.CLEARED = 'Y' AND s.STOP_DATE = DATE '1999-11-23'))),
  again AS (SELECT s.*, reason FROM ok JOIN STOPLIST s ON s.PEOPLE_CODE_ID = pid AND s.STOP_REASON = reason AND s.CLEARED = 'Y' AND s.STOP_DATE = DATE '1999-11-23')"""
-STOP_COMMENT = "'Added by System Administrator Nov 23, 1999'"
+STOP_COMMENT = "'Batch entry Nov 23, 1999'"
 
 
 def _stops(t):

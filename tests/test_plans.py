@@ -58,7 +58,7 @@ def test_unique_stop_run(spark, campus):
     assert writers.insert_stops(again, asked, NOW)["STOPLIST"].changes.count() == 0
     with pytest.raises(RunAborted, match="10 characters"):
         writers.insert_stops(campus, spark.createDataFrame([("P1", "2-HIGH")], "PEOPLE_CODE_ID string, STOP_REASON string"), NOW)
-    with pytest.raises(RunAborted, match="incorrectly formatted"):
+    with pytest.raises(RunAborted, match="begin with P"):
         writers.insert_stops(campus, spark.createDataFrame([("X000000001", "2-HIGH")], "PEOPLE_CODE_ID string, STOP_REASON string"), NOW)
 
 
