@@ -619,7 +619,7 @@ DESIRED = """roles AS (SELECT ar.AppRoleId, crt.CODE_VALUE_KEY AS rt FROM SiteMa
  desired AS (SELECT n.UserName, AppUserId, AppRoleId FROM named n LEFT JOIN AppUser au ON au.UserName = n.UserName
     UNION SELECT NULL, aur.AppUserId, aur.AppRoleId FROM AppUser au JOIN AppUserRole aur ON aur.AppUserId = au.AppUserId WHERE Password <> ''),
  gone AS (SELECT AppUserId FROM AppUser WHERE Password = '' AND ApplicationId = 1 AND UserName NOT IN (SELECT UserName FROM PersonUser)),
- fresh AS (SELECT UserName, Email, (SELECT max(AppUserId) FROM AppUser WHERE AppUserId NOT IN (SELECT * FROM gone)) + row_number() OVER (ORDER BY UserName, Email) AS id FROM (
+ fresh AS (SELECT UserName, Email, (SELECT max(AppUserId) FROM AppUser) + row_number() OVER (ORDER BY UserName, Email) AS id FROM (
     SELECT DISTINCT d.UserName, e.Email FROM desired d LEFT JOIN PersonUser pu ON pu.UserName = d.UserName LEFT JOIN PEOPLE p ON p.PersonId = pu.PersonId
     LEFT JOIN EmailAddress e ON e.EmailAddressId = p.PrimaryEmailId WHERE d.AppUserId IS NULL)),
  final AS (SELECT DISTINCT coalesce(AppUserId, id) AS AppUserId, AppRoleId FROM desired LEFT JOIN fresh USING (UserName))"""
@@ -644,7 +644,7 @@ def sync_identity_users(t):
 
 @plan(f"""WITH {DESIRED}
 SELECT 'INSERT' AS action, CAST(AppUserId AS BIGINT) AS AppUserId, CAST(AppRoleId AS BIGINT) AS AppRoleId FROM final f WHERE NOT EXISTS (SELECT 1 FROM AppUserRole t WHERE t.AppUserId = f.AppUserId AND t.AppRoleId = f.AppRoleId)
-UNION ALL SELECT 'DELETE', AppUserId, AppRoleId FROM AppUserRole t WHERE AppRoleId IN (SELECT AppRoleId FROM roles) AND NOT EXISTS (SELECT 1 FROM final f WHERE t.AppUserId = f.AppUserId AND t.AppRoleId = f.AppRoleId)""")
+UNION ALL SELECT 'DELETE', AppUserId, AppRoleId FROM AppUserRole t WHERE (AppRoleId IN (SELECT AppRoleId FROM roles) OR AppUserId IN (SELECT AppUserId FROM gone)) AND NOT EXISTS (SELECT 1 FROM final f WHERE t.AppUserId = f.AppUserId AND t.AppRoleId = f.AppRoleId)""")
 def sync_identity_roles(t):
     return identity.sync_identity(t, "portal", OPERATORS, "identity")["AppUserRole"].changes.select("action", "AppUserId", "AppRoleId")
 
@@ -781,12 +781,12 @@ def rogue_registrations(t):
     return notices.rogue_registrations(t)
 
 
-@plan(f"""WITH {CUR} SELECT '<p>Registrations without a matching academic record:</p><p><strong><table class="merged"><thead><tr><th>ID</th><th>Name</th><th>Course</th><th>Rogue Sequence</th></tr></thead><tbody>' ||
-  string_agg('<tr><td>' || td.PEOPLE_ID || '</td><td>' || p.FIRST_NAME || ' ' || p.LAST_NAME || '</td><td>' || EVENT_ID || ' / ' || SECTION || '</td><td>' || TRANSCRIPT_SEQ || '</td></tr>', '' ORDER BY td.PEOPLE_ID, EVENT_ID, SECTION, TRANSCRIPT_SEQ)
+@plan(f"""WITH {CUR} SELECT td.PEOPLE_ID AS "uniqueKey", '<p>Registrations without a matching academic record:</p><p><strong><table class="merged"><thead><tr><th>ID</th><th>Name</th><th>Course</th><th>Rogue Sequence</th></tr></thead><tbody>' ||
+  string_agg('<tr><td>' || td.PEOPLE_ID || '</td><td>' || p.FIRST_NAME || ' ' || p.LAST_NAME || '</td><td>' || EVENT_ID || ' / ' || SECTION || '</td><td>' || TRANSCRIPT_SEQ || '</td></tr>', '' ORDER BY EVENT_ID, SECTION, TRANSCRIPT_SEQ)
   || '</tbody></table></strong></p>' AS body FROM TRANSCRIPTDETAIL td JOIN cur ON ACADEMIC_YEAR = cy AND ACADEMIC_TERM = ct LEFT JOIN PEOPLE p ON p.PEOPLE_CODE_ID = td.PEOPLE_CODE_ID WHERE ADD_DROP_WAIT = 'A'
-  AND NOT EXISTS (SELECT 1 FROM ACADEMIC a WHERE a.PEOPLE_ID = td.PEOPLE_ID AND a.ACADEMIC_YEAR = td.ACADEMIC_YEAR AND a.ACADEMIC_TERM = td.ACADEMIC_TERM AND a.TRANSCRIPT_SEQ = td.TRANSCRIPT_SEQ AND a.ACADEMIC_SESSION > '')""")
+  AND NOT EXISTS (SELECT 1 FROM ACADEMIC a WHERE a.PEOPLE_ID = td.PEOPLE_ID AND a.ACADEMIC_YEAR = td.ACADEMIC_YEAR AND a.ACADEMIC_TERM = td.ACADEMIC_TERM AND a.TRANSCRIPT_SEQ = td.TRANSCRIPT_SEQ AND a.ACADEMIC_SESSION > '') GROUP BY td.PEOPLE_ID""")
 def transcript_mismatch(t):
-    return notices.transcript_mismatch(t, "self@x.edu", "registrar@x.edu").select("body")
+    return notices.transcript_mismatch(t, "self@x.edu", "registrar@x.edu").select("uniqueKey", "body")
 
 
 def table_sql(titles: str, rows: str, empty: str) -> str:

@@ -169,14 +169,14 @@ DERIVED: dict[str, str] = {
     "PersonUser": "SELECT c_custkey AS PersonId, c_name AS UserName FROM {customer} UNION ALL SELECT 900000000000 + s_suppkey, 'op' || CAST(s_suppkey AS STRING) FROM {supplier}",
     "Application": "SELECT 1 AS ApplicationId, 'portal' AS Name UNION ALL SELECT 2, 'other'",
     "AppStore": "SELECT 11 AS AppStoreId, 1 AS ApplicationId, 2 AS Mode UNION ALL SELECT 12, 1, 3",
-    "AppRole": "SELECT 1 AS AppRoleId, 1 AS ApplicationId, 'Student' AS Name UNION ALL SELECT 2, 1, 'Faculty' UNION ALL SELECT 3, 1, 'Dossier' UNION ALL SELECT 4, 1, 'Approval'",
+    "AppRole": "SELECT 1 AS AppRoleId, 1 AS ApplicationId, 'Student' AS Name UNION ALL SELECT 2, 1, 'Faculty' UNION ALL SELECT 3, 1, 'Dossier' UNION ALL SELECT 4, 1, 'Approval' UNION ALL SELECT DISTINCT 100 + ascii(c_mktsegment), 1, c_mktsegment FROM {customer}",
     "AppUser": """SELECT c_custkey AS AppUserId, 1 AS ApplicationId, c_name AS UserName, '' AS Password, 11 AS CreationAppStoreId, 12 AS AuthenticationAppStoreId FROM {customer} WHERE c_acctbal > 2000
       UNION ALL SELECT 900000000000 + s_suppkey, 1, s_name, CASE WHEN s_acctbal > 5000 THEN 'secret' ELSE '' END, 11, 10 FROM {supplier}""",
     "AppUserRole": """SELECT o_custkey AS AppUserId, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS AppRoleId FROM {orders} GROUP BY 1, 2
       UNION ALL SELECT 900000000000 + s_suppkey, 2 FROM {supplier}""",
-    "SiteMapRole": "SELECT 1 AS SiteMapRoleId, 'Student' AS RoleName UNION ALL SELECT 2, 'Faculty'",
-    "PersonTypeRole": "SELECT 'Student' AS RoleName, 7 AS PersonTypeId UNION ALL SELECT 'Faculty', 8",
-    "CODE_RECORDTYPE": "SELECT 7 AS RecordTypeId, 'STU' AS CODE_VALUE_KEY, 'A' AS STATUS UNION ALL SELECT 8, 'FAC', 'A'",
+    "SiteMapRole": "SELECT 1 AS SiteMapRoleId, 'Student' AS RoleName UNION ALL SELECT 2, 'Faculty' UNION ALL SELECT DISTINCT 100 + ascii(c_mktsegment), c_mktsegment FROM {customer}",
+    "PersonTypeRole": "SELECT 'Student' AS RoleName, 7 AS PersonTypeId UNION ALL SELECT 'Faculty', 8 UNION ALL SELECT DISTINCT c_mktsegment, CAST(100 + ascii(o_orderpriority) AS INT) FROM {orders} JOIN {customer} ON o_custkey = c_custkey",
+    "CODE_RECORDTYPE": "SELECT 7 AS RecordTypeId, 'STU' AS CODE_VALUE_KEY, 'A' AS STATUS UNION ALL SELECT 8, 'FAC', 'A' UNION ALL SELECT DISTINCT CAST(100 + ascii(o_orderpriority) AS INT), o_orderpriority, 'A' FROM {orders}",
     "ABT_USERS": f"SELECT 'OP' || CAST(s_suppkey AS STRING) AS OPERATOR_ID, {instructor('s_suppkey')} AS PEOPLE_CODE_ID, CASE WHEN s_acctbal > -500 THEN 'A' ELSE 'I' END AS STATUS FROM {{supplier}}",
     "ABT_USERPROFILE": """SELECT 'OP' || CAST(l_suppkey AS STRING) AS OPERATOR_ID, CAST(l_partkey AS STRING) AS PROFILE_CODE FROM {lineitem} WHERE l_quantity = 50 GROUP BY 1, 2
       UNION ALL SELECT 'OP' || CAST(s_suppkey AS STRING), 'REGSTAFF' FROM {supplier} WHERE s_acctbal > 7000""",

@@ -20,10 +20,17 @@ from .keys import with_row_key
 
 @dataclass(frozen=True)
 class ChangeSet:
-    """New contents of a table, and one row per change with its ``action``."""
+    """New contents of a table, and one row per change with its ``action``.
+
+    ``tagged``, where a writer has it, holds both in one plan: all rows with their ``action`` (null: unchanged, DELETE: not in
+    the new contents). ``repeated``, where a writer takes values from a source, holds the source keys that occur more than
+    once; such a source would multiply rows, so ``write_run`` refuses it.
+    """
 
     new_state: DataFrame
     changes: DataFrame
+    tagged: DataFrame | None = None
+    repeated: DataFrame | None = None
 
 
 class RunAborted(Exception):
@@ -43,9 +50,27 @@ def require_none(checks: Mapping[str, DataFrame], shown: int = 20) -> None:
             raise RunAborted(f"{name}: " + "; ".join(str(r.asDict()) for r in rows))
 
 
+def repeated_keys(source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once; keys with a null match nothing and are left out."""
+    return source.select(*key).dropna().groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
+def from_tagged(tagged: DataFrame, repeated: DataFrame | None = None) -> ChangeSet:
+    """The change-set of rows that carry their action."""
+    kept = tagged.filter(F.col("action").isNull() | (F.col("action") != "DELETE")).drop("action")
+    return ChangeSet(kept, tagged.filter(F.col("action").isNotNull()), tagged, repeated)
+
+
 def write_run(changesets: Mapping[str, ChangeSet], path: str) -> None:
-    """Write every new state and change log under a new run path."""
+    """Write every new state and change log under a new run path; sources that repeat a key stop the run before any write.
+
+    A writer with a ``tagged`` plan runs once, to ``tagged/<name>``; state and changes are split off that table.
+    """
+    require_none({f"{n}: repeated source key": c.repeated for n, c in changesets.items() if c.repeated is not None})
     for name, c in changesets.items():
+        if c.tagged is not None:
+            c.tagged.write.mode("errorifexists").parquet(f"{path}/tagged/{name}")
+            c = from_tagged(c.tagged.sparkSession.read.schema(c.tagged.schema).parquet(f"{path}/tagged/{name}"))
         c.new_state.write.mode("errorifexists").parquet(f"{path}/state/{name}")
         c.changes.write.mode("errorifexists").parquet(f"{path}/changes/{name}")
 
@@ -101,8 +126,8 @@ def align_columns(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def append(target: DataFrame, rows: DataFrame, action: str = "INSERT") -> ChangeSet:
-    added = align_columns(rows, target)
-    return ChangeSet(target.unionByName(added), added.withColumn("action", F.lit(action)))
+    added = align_columns(rows, target).withColumn("action", F.lit(action))
+    return ChangeSet(target.unionByName(added.drop("action")), added, target.withColumn("action", F.lit(None).cast("string")).unionByName(added))
 
 
 def insert_missing(target: DataFrame, source: DataFrame, key: Sequence[str]) -> ChangeSet:
@@ -139,7 +164,7 @@ def upsert(
         )
     action = F.when(inserted, "INSERT").when(matched, "UPDATE").alias("action")
     result = joined.select(*out, action)
-    return ChangeSet(result.drop("action"), result.filter(F.col("action").isNotNull()))
+    return ChangeSet(result.drop("action"), result.filter(F.col("action").isNotNull()), result, repeated_keys(source, key))
 
 
 def sync_to(target: DataFrame, desired: DataFrame, key: Sequence[str], managed: DataFrame | None = None,
@@ -165,9 +190,14 @@ def next_id(target: DataFrame, id_column: str) -> Column:
     return F.coalesce(target.agg(F.max(F.col(id_column).cast("bigint")).alias("m")).scalar(), F.lit(0))
 
 
-def insert_returning(target: DataFrame, rows: DataFrame, id_column: str, order: Sequence[Column | str]) -> tuple[ChangeSet, DataFrame]:
-    """Append rows with new ids; also returns the input rows beside their ids."""
-    numbered = with_row_key(rows.drop(id_column), order, id_column, next_id(target, id_column))
+def insert_returning(
+    target: DataFrame, rows: DataFrame, id_column: str, order: Sequence[Column | str], used: DataFrame | None = None
+) -> tuple[ChangeSet, DataFrame]:
+    """Append rows with new ids; also returns the input rows beside their ids.
+
+    New ids lie above those of ``used``: the table before rows were taken out of ``target``, so that no id is given out again.
+    """
+    numbered = with_row_key(rows.drop(id_column), order, id_column, next_id(target if used is None else used, id_column))
     return append(target, numbered), numbered
 
 
@@ -185,16 +215,19 @@ def update_from(
         (F.when(hit, F.col(f"s.{sets[c]}").cast(target.schema[c].dataType)).otherwise(target[c]) if c in sets else target[c]).alias(c)
         for c in target.columns
     ]
-    result = joined.select(*columns, hit.alias("_hit"))
-    return ChangeSet(result.drop("_hit"), result.filter("_hit").drop("_hit").withColumn("action", F.lit("UPDATE")))
+    return _updated(joined.select(*columns, hit.alias("_hit")), repeated_keys(source, list(pairs.values())))
+
+
+def _updated(result: DataFrame, repeated: DataFrame | None = None) -> ChangeSet:
+    tagged = result.select(*[c for c in result.columns if c != "_hit"], F.when(F.col("_hit"), "UPDATE").alias("action"))
+    return ChangeSet(result.drop("_hit"), result.filter("_hit").drop("_hit").withColumn("action", F.lit("UPDATE")), tagged, repeated)
 
 
 def update_where(target: DataFrame, test: Column, sets: Mapping[str, Column]) -> ChangeSet:
     test = F.coalesce(test, F.lit(False))
     flagged = target.withColumn("_hit", test)
     values = {c: F.when(F.col("_hit"), v.cast(target.schema[c].dataType)).otherwise(F.col(c)) for c, v in sets.items()}
-    result = flagged.withColumns(values)
-    return ChangeSet(result.drop("_hit"), result.filter("_hit").drop("_hit").withColumn("action", F.lit("UPDATE")))
+    return _updated(flagged.withColumns(values))
 
 
 def delete_matching(target: DataFrame, doomed: DataFrame, on: Sequence[str] | Mapping[str, str]) -> ChangeSet:
@@ -204,7 +237,8 @@ def delete_matching(target: DataFrame, doomed: DataFrame, on: Sequence[str] | Ma
 
 def delete_where(target: DataFrame, test: Column) -> ChangeSet:
     test = F.coalesce(test, F.lit(False))
-    return ChangeSet(target.filter(~test), target.filter(test).withColumn("action", F.lit("DELETE")))
+    tagged = target.withColumn("action", F.when(test, "DELETE"))
+    return ChangeSet(target.filter(~test), target.filter(test).withColumn("action", F.lit("DELETE")), tagged)
 
 
 @dataclass(frozen=True)

@@ -76,7 +76,8 @@ def desired_roles(t: TableRegistry, application: str, operator_roles: Mapping[st
 
 
 def sync_identity(t: TableRegistry, application: str, operator_roles: Mapping[str, Sequence[str] | None], db: str) -> dict[str, ChangeSet | DataFrame]:
-    """Bring accounts and their roles to the desired state; roles without a record type are never taken away."""
+    """Bring accounts and their roles to the desired state; roles without a record type are taken away
+    only with their account. Ids of deleted accounts are not given out again."""
     app = _application_id(t, application, db)
     accounts = t.table("AppUser", db)
     # Read for the new accounts and again for the roles: computed once.
@@ -97,15 +98,18 @@ def sync_identity(t: TableRegistry, application: str, operator_roles: Mapping[st
         F.lit("").alias("Password"), F.lit(0).alias("ChangePasswordAtNextLogon"),
         _store_id(t, app, DIRECTORY_MODE, db).alias("CreationAppStoreId"), _store_id(t, app, FEDERATED_MODE, db).alias("AuthenticationAppStoreId"),
     )
-    numbered_changes, numbered = changes.insert_returning(removed.new_state, rows, "AppUserId", ["UserName", "Email"])
+    numbered_changes, numbered = changes.insert_returning(removed.new_state, rows, "AppUserId", ["UserName", "Email"], used=accounts)
     users = ChangeSet(numbered_changes.new_state, removed.changes.unionByName(numbered_changes.changes))
 
     ids = numbered.select("UserName", F.col("AppUserId").alias("_new_id"))
     complete = desired.join(ids, "UserName", "left").select(F.coalesce("AppUserId", "_new_id").alias("AppUserId"), "AppRoleId").distinct()
-    roles = changes.sync_to(
-        t.table("AppUserRole", db), complete, ["AppUserId", "AppRoleId"], role_map(t, application, db).select("AppRoleId"), ["AppRoleId"]
+    ended = changes.delete_matching(t.table("AppUserRole", db), orphans, ["AppUserId"])
+    synced = changes.sync_to(
+        ended.new_state, complete, ["AppUserId", "AppRoleId"], role_map(t, application, db).select("AppRoleId"), ["AppRoleId"]
     )
-    report = joins.lookup(roles.changes, users.new_state, {"AppUserId": "AppUserId"}, {"UserName": "UserName"})
+    roles = ChangeSet(synced.new_state, ended.changes.select(*synced.changes.columns).unionByName(synced.changes))
+    names = accounts.select("AppUserId", "UserName").unionByName(numbered.select("AppUserId", "UserName"))
+    report = joins.lookup(roles.changes, names, {"AppUserId": "AppUserId"}, {"UserName": "UserName"})
     report = joins.lookup(report, t.table("AppRole", db), {"AppRoleId": "AppRoleId"}, {"RoleName": "Name"})
     people = t["PersonUser"].join(t["PEOPLE"].select("PersonId", "PEOPLE_ID"), "PersonId").select("UserName", "PEOPLE_ID")
     report = report.join(people, "UserName", "left")

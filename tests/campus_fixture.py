@@ -285,10 +285,10 @@ def build() -> dict[str, list[dict]]:
         "AppRole": [{"AppRoleId": n, "ApplicationId": 1, "Name": r} for n, r in ((1, "Student"), (2, "Faculty"), (3, "Dossier"), (4, "Approval"))],
         "AppUser": [
             {"AppUserId": 1, "ApplicationId": 1, "UserName": "Ann", "Password": "", "CreationAppStoreId": 11, "AuthenticationAppStoreId": None},
-            {"AppUserId": 2, "ApplicationId": 1, "UserName": "gone", "Password": ""}, {"AppUserId": 3, "ApplicationId": 1, "UserName": "admin", "Password": "x"},
+            {"AppUserId": 9, "ApplicationId": 1, "UserName": "gone", "Password": ""}, {"AppUserId": 3, "ApplicationId": 1, "UserName": "admin", "Password": "x"},
             {"AppUserId": 4, "ApplicationId": 1, "UserName": "DEAN ", "Password": "", "CreationAppStoreId": 11, "AuthenticationAppStoreId": 12},
         ],
-        "AppUserRole": [{"AppUserId": 1, "AppRoleId": 2}, {"AppUserId": 1, "AppRoleId": 4}, {"AppUserId": 3, "AppRoleId": 1}, {"AppUserId": 4, "AppRoleId": 1}],
+        "AppUserRole": [{"AppUserId": 1, "AppRoleId": 2}, {"AppUserId": 1, "AppRoleId": 4}, {"AppUserId": 3, "AppRoleId": 1}, {"AppUserId": 4, "AppRoleId": 1}, {"AppUserId": 9, "AppRoleId": 4}],
         "SiteMapRole": [{"SiteMapRoleId": 1, "RoleName": "Student"}, {"SiteMapRoleId": 2, "RoleName": "Faculty"}],
         "PersonTypeRole": [{"RoleName": "Student", "PersonTypeId": 7}, {"RoleName": "Faculty", "PersonTypeId": 8}],
         "CODE_RECORDTYPE": [{"RecordTypeId": 7, "CODE_VALUE_KEY": "STU", "STATUS": "A"}, {"RecordTypeId": 8, "CODE_VALUE_KEY": "FAC", "STATUS": "A"}],

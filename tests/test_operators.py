@@ -269,6 +269,36 @@ def test_gate_and_run_path(spark, tmp_path):
         changes.write_run({"t": done}, str(tmp_path / "run"))
 
 
+def test_writers_run_once_and_refuse_repeated_source_keys(spark, tmp_path):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z"), (None, "z")], "k int, v string")
+    for name, out in {"up": changes.upsert(target, twice, ["k"], {"v": F.col("s.v")}, {}), "from": changes.update_from(target, twice, ["k"], {"v": "v"})}.items():
+        with pytest.raises(changes.RunAborted, match="repeated source key"):
+            changes.write_run({"t": out}, str(tmp_path / name))
+        assert not (tmp_path / name).exists()
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    source = spark.createDataFrame([(1, "x"), (3, "n")], "k int, v string")
+    for n, (write, state, done) in enumerate([
+        (lambda t: changes.update_where(t, F.col("k") == 1, {"v": F.lit("x")}), {(1, "x"), (2, "b")}, {(1, "x", "UPDATE")}),
+        (lambda t: changes.delete_where(t, F.col("k") == 1), {(2, "b")}, {(1, "a", "DELETE")}),
+        (lambda t: changes.append(t, source.filter("k = 3")), {(1, "a"), (2, "b"), (3, "n")}, {(3, "n", "INSERT")}),
+        (lambda t: changes.upsert(t, source, ["k"], {"v": F.col("s.v")}, {}), {(1, "x"), (2, "b"), (3, "n")}, {(1, "x", "UPDATE"), (3, "n", "INSERT")}),
+        (lambda t: changes.update_from(t, source, ["k"], {"v": "v"}), {(1, "x"), (2, "b")}, {(1, "x", "UPDATE")}),
+    ]):
+        before, path = seen.value, str(tmp_path / f"once{n}")
+        changes.write_run({"t": write(target.mapInArrow(count, "k int, v string"))}, path)
+        assert seen.value - before == 2
+        assert {tuple(r) for r in spark.read.parquet(f"{path}/state/t").select("k", "v").collect()} == state
+        assert {tuple(r) for r in spark.read.parquet(f"{path}/changes/t").select("k", "v", "action").collect()} == done
+
+
 def test_audit_log(spark):
     before = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "c", "y")], "k int, v string, w string")
     after = spark.createDataFrame([(1, "a", None), (2, "b", None), (4, "d", "z")], "k int, v string, w string")

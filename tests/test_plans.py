@@ -282,6 +282,9 @@ def test_identity_report_and_second_run(spark, campus):
     state = {**campus.databases["main"], "AppUser": out["AppUser"].new_state, "AppUserRole": out["AppUserRole"].new_state}
     again = identity.sync_identity(TableRegistry(spark, {"main": state, "identity": state}), "portal", operators, "identity")
     assert again["AppUser"].changes.count() == 0 and again["AppUserRole"].changes.count() == 0
+    users = {a: {r.AppUserId for r in out["AppUser"].changes.filter(F.col("action") == a).collect()} for a in ("INSERT", "DELETE")}
+    assert users["DELETE"] and not users["INSERT"] & users["DELETE"]
+    assert not {r.AppUserId for r in out["AppUserRole"].new_state.collect()} & users["DELETE"]
 
 
 def test_find_value_rows(campus):
