@@ -106,10 +106,14 @@ def merge_batches(path: str, key: Sequence[str], version: Sequence[str]):
 
 
 def dedupe_overlap(stream: DataFrame, key: Sequence[str], event_time: str, window: str = "8 days") -> DataFrame:
-    """Rows that each run pulls again are dropped; state is bounded by the watermark."""
+    """Rows that each run pulls again are dropped; in a stream, state is bounded by the watermark.
+
+    A batch keeps the latest row of each key; equal times are settled by the other columns.
+    """
     if stream.isStreaming:
         return stream.withWatermark(event_time, window).dropDuplicatesWithinWatermark(list(key))
-    return stream.dropDuplicates(list(key))
+    rest = [F.col(f"`{c}`") for c in stream.columns if c not in {*key, event_time}]
+    return latest_row_per_key(stream, key, [F.col(event_time), *rest])
 
 
 def replay(rows: DataFrame, landed_at: str, start: datetime, end: datetime) -> DataFrame:

@@ -49,14 +49,14 @@ def test_unique_stop_run(spark, campus):
         [(p, r) for p in (c.A, c.B, c.C, c.D, c.E, "P999999999") for r in ("2-HIGH", "1-URGENT", "none")] + [(c.A, "2-HIGH")], "PEOPLE_CODE_ID string, STOP_REASON string"
     )
     out = writers.insert_stops(campus, asked, NOW, "test", "ME", "why")
-    note = "why\r\nAdded by System Administrator Nov 23, 1999"
+    note = "why\r\nBatch entry Nov 23, 1999"
     assert rows(out["STOPLIST"].changes, "PEOPLE_CODE_ID", "action", "COMMENTS") == {
         (c.A, "REOPEN", "was\r\n" + note), (c.D, "REOPEN", note), (c.B, "INSERT", note), (c.E, "INSERT", note),
     }
     assert out["STOPLIST"].new_state.count() == 6
     again = TableRegistry(spark, {"main": {**campus.databases["main"], "STOPLIST": out["STOPLIST"].new_state}})
     assert writers.insert_stops(again, asked, NOW)["STOPLIST"].changes.count() == 0
-    with pytest.raises(RunAborted, match="10 characters"):
+    with pytest.raises(RunAborted, match="ten letters"):
         writers.insert_stops(campus, spark.createDataFrame([("P1", "2-HIGH")], "PEOPLE_CODE_ID string, STOP_REASON string"), NOW)
     with pytest.raises(RunAborted, match="begin with P"):
         writers.insert_stops(campus, spark.createDataFrame([("X000000001", "2-HIGH")], "PEOPLE_CODE_ID string, STOP_REASON string"), NOW)
