@@ -20,9 +20,11 @@ columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -131,21 +133,42 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("root")))
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """doc_id, fp, component_id of every row; the component is named by its smallest doc_id."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """doc_id, fp, root, component_id of every row."""
     marked = base.staged(fingerprints(docs, id_col, text_col, width), "fingerprints")
     different = base.staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "different")
     roots = components(links(different))
     rooted = different.join(roots, different.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(rooted.select("fp", "root").join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return marked.join(rooted.select("fp", "root").join(named, "root"), "fp").select("doc_id", "fp", "root", "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """One row of each group: the row whose id names the component, and one of them if the id repeats. All columns stay."""
-    found = base.staged(groups(docs, id_col, text_col, width), "groups")
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("copies"))
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """doc_id, fp, component_id of every row; the component is named by its smallest doc_id."""
+    return _rooted(docs, id_col, text_col, width).select("doc_id", "fp", "component_id")
+
+
+def kept(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """One row of ``docs`` for each root of ``found`` (doc_id, fp, root), one with its smallest id; all columns stay.
+
+    Rows are told by id and fingerprint: what shares both shares its root.
+    """
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("row")).select("row.doc_id", "row.fp")
     # By the frames' own columns: ``docs`` may hold columns of any name.
-    kept = docs.join(first, docs[id_col].cast("long").eqNullSafe(first["doc_id"]), "left_semi")
-    # Only a table whose ids repeat needs another exchange.
-    return kept.dropDuplicates([id_col]) if first.filter("copies > 1").limit(1).count() else kept
+    if not found.groupBy("doc_id").agg(F.count("*").alias("copies")).filter("copies > 1").limit(1).count():
+        return docs.join(first, docs[id_col].cast("long").eqNullSafe(first["doc_id"]), "left_semi")
+
+    @F.pandas_udf("long")
+    def print_of(text: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint((t or "").encode(), width) for t in text], np.uint64).view(np.int64))
+
+    # Repeated ids: the fingerprint goes along, in a column of a name that ``docs`` cannot hold.
+    own = f"_fp_{uuid.uuid4().hex}"
+    wide = docs.withColumn(own, print_of(docs[text_col].cast("string")))
+    wide = wide.join(first, wide[id_col].cast("long").eqNullSafe(first["doc_id"]) & (wide[own] == first["fp"]), "left_semi")
+    return wide.dropDuplicates([id_col, own]).drop(own)
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """One row of each group, one with its smallest id, whether or not ids repeat or are null. All columns stay."""
+    return kept(docs, base.staged(_rooted(docs, id_col, text_col, width), "groups"), id_col, text_col, width)
