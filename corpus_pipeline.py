@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import decontam, language_id, piece_codec, secret_scan, simhash_dedup
+from rosterline.llm import decontam, language_id, near_copies, piece_codec, secret_scan
 from rosterline.llm.base import staged, table
 from rosterline.llm.queries import PIECES, TRAIN_ROWS
 
@@ -21,8 +21,8 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: the one whose id names the group."""
-    return simhash_dedup.keep_first(docs)
+    """One row of each group of near copies: texts of five-word similarity 0.8 or more, and op5's fingerprint groups."""
+    return near_copies.keep_first(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,196 @@
+"""Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, by a complete search.
+
+Words are what white space parts, in small letters; a text of fewer words than ``WIDTH`` is one shingle. Equal sets
+collapse to one node first. Two sets of similarity 0.8 share a shingle among the first n - ceil(0.8 n) + 1 of each in
+any fixed order of all shingles (prefix filter), so the index holds these postings only. The order puts shingles that a
+sample of the texts repeats last; the sample decides how long lists become, never what is found. Pairs that share a
+posting and can still reach the similarity by their sizes and places are verified on the whole sets, in integers.
+
+Lists above ``list_limit`` are split: each of their members is verified against ``PIVOTS`` members first, and then only
+pairs of different components are looked at, so a large group of near copies costs rows in proportion to its size. No
+pair of 0.8 or more can end up in two components.
+
+Nulls and texts without words have no set and no link here. Repeated rows and ids are one node; an empty table gives
+none. Components also follow op5's links between fingerprints (``simhash_dedup``).
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from rosterline.llm import base, simhash_dedup
+from rosterline.llm.decontam import shingles
+
+WIDTH = 5
+PIVOTS = 8
+SAMPLE_ROWS, COMMON_SHINGLES = 20_000, 500_000  # bound the table of common shingles
+
+
+class Sets:
+    """Sorted distinct shingle hashes of a text."""
+
+    def __init__(self):
+        self.hashes = base.Remembered(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 5), 400_000)
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        words = (text or "").lower().split()
+        hashes = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
+        return np.unique(shingles(hashes, min(WIDTH, len(words)))) if words else hashes
+
+
+def _node(found: np.ndarray) -> int | None:
+    return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), 7)).view(np.int64)) if len(found) else None
+
+
+def _longs(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *(x.view(np.int64) for x in arrays)])))
+
+
+def sets(texts: DataFrame, only: np.ndarray | None = None) -> DataFrame:
+    """node, hashes of every text with words; of those that ``only`` (of ``sieve``) lets through."""
+    shared = texts.sparkSession.sparkContext.broadcast(only)
+
+    def run(batches):
+        of = Sets()
+        for batch in base.pieces(batches):
+            found = [(_node(x), x) for t in base.texts(batch) if len(x := of(t))]
+            if (held := shared.value) is not None:
+                found = [(k, x) for k, x in found if held[k & (len(held) - 1)]]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), _longs([x for _, x in found])], ["node", "hashes"])
+
+    return texts.select("text").mapInArrow(run, "node long, hashes array<long>")
+
+
+def marked(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """doc_id, fp (op5's fingerprint), node (null without words)."""
+
+    def run(batches):
+        of = Sets()
+        for batch in base.pieces(batches):
+            plain = batch.column("text").cast(pa.binary()).to_pylist()
+            fp = np.array([simhash_dedup.fingerprint(t or b"", width) for t in plain], np.uint64).view(np.int64)
+            nodes = pa.array([_node(of(t)) for t in base.texts(batch)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64()), nodes], ["doc_id", "fp", "node"])
+
+    return base.keyed_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long, node long")
+
+
+def common(texts: DataFrame) -> np.ndarray:
+    """Shingles that a sample of at most about ``SAMPLE_ROWS`` texts repeats, the rarest first."""
+    n = texts.count()
+    share = max(1, n // SAMPLE_ROWS, min(8, n // 2_000))
+    sample = sets(texts.filter(F.pmod(F.xxhash64("text"), F.lit(share)) == 0))
+    counts = sample.select(F.explode("hashes").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("k")).filter("k > 2")
+    rows = counts.orderBy(F.desc("k"), "shingle").limit(COMMON_SHINGLES).toPandas()
+    return rows["shingle"].to_numpy(np.int64).view(np.uint64)[::-1].copy()
+
+
+def prefixes(texts: DataFrame, last: np.ndarray) -> DataFrame:
+    """shingle, node, n (size of the set), place (in the order) of every posting of every different set."""
+    shared = texts.sparkSession.sparkContext.broadcast(last)
+
+    def run(batches):
+        of, rank, seen = Sets(), shared.value, set()
+        by_hash = np.argsort(rank)
+        keys = rank[by_hash]
+        for batch in base.pieces(batches):
+            out, node, n, place = [], [], [], []
+            for t in base.texts(batch):
+                found = of(t)
+                size = len(found)
+                key = _node(found)
+                if not size or key in seen:
+                    continue
+                if len(seen) >= 1_000_000:
+                    seen.clear()
+                seen.add(key)
+                late = np.zeros(size, np.int64)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+                    late = np.where(keys[at] == found, by_hash[at] + 1, 0)
+                count = size - (4 * size + 4) // 5 + 1
+                out.append(found[np.argsort(late, kind="stable")[:count]])
+                node.append(np.full(count, key, np.int64))
+                n.append(np.full(count, size, np.int32))
+                place.append(np.arange(count, dtype=np.int32))
+            join = lambda xs, kind: np.concatenate([np.zeros(0, kind), *xs])
+            yield pa.RecordBatch.from_arrays([pa.array(join([x.view(np.int64) for x in out], np.int64)), pa.array(join(node, np.int64)), pa.array(join(n, np.int32)), pa.array(join(place, np.int32))], ["shingle", "node", "n", "place"])
+
+    return texts.select("text").mapInArrow(run, "shingle long, node long, n int, place int")
+
+
+def sieve(nodes: DataFrame) -> np.ndarray:
+    """A bitmap (2 MB at most) of ``nodes`` by their lowest bits: what it lacks is none of them."""
+    bits = 1 << min(24, max(10, (16 * nodes.count()).bit_length()))
+
+    def run(batches):
+        held = np.zeros(bits, bool)
+        for batch in batches:
+            held[batch.column("node").to_numpy() & (bits - 1)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(held).tobytes()], pa.binary())], ["held"])
+
+    out = np.zeros(bits // 8, np.uint8)
+    for row in nodes.coalesce(32).mapInArrow(run, "held binary").toLocalIterator():
+        out |= np.frombuffer(row["held"], np.uint8)
+    return np.unpackbits(out).astype(bool)
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``pairs`` (u, v) whose whole sets have a similarity of 0.8 or more."""
+    pairs = base.staged(pairs, "pairs")
+    wanted = base.staged(pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct(), "wanted")
+    # Sets of other texts are not shuffled.
+    held = base.staged(sets(texts, sieve(wanted)).join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    both = pairs.join(held.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(held.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
+    # common / (a + b - common) >= 4 / 5
+    return both.filter(9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b"))).select("u", "v")
+
+
+def links(texts: DataFrame, list_limit: int = 24) -> DataFrame:
+    """u, v (u < v): links of nodes that join exactly what all pairs of similarity 0.8 or more join."""
+    # One exchange: equal postings collapse and lists are counted where their shingle went.
+    posts = prefixes(texts, common(texts)).repartition("shingle").distinct()
+    lists = base.staged(posts.withColumn("size", F.count("*").over(Window.partitionBy("shingle"))).filter("size > 1"), "lists")
+
+    hot = lists.filter(F.col("size") > list_limit)
+    pivots = hot.groupBy("shingle").agg(F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"] for k in range(PIVOTS)]).alias("pivots"))
+    stars = hot.join(pivots, "shingle").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots")).select("node", F.explode("pivots").alias("pivot")).filter("node <> pivot")
+    first = base.staged(verified(stars.select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct(), texts), "links")
+    roots = simhash_dedup.components(first)
+    lists = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    # Of a long list: whoever is not in its largest component meets all others of it.
+    within = lists.filter(F.col("size") > list_limit).groupBy("shingle", "root").agg(F.count("*").alias("k"))
+    largest = within.groupBy("shingle").agg(F.max(F.struct("k", "root"))["root"].alias("largest"))
+    ask = lists.join(largest, "shingle", "left").filter(F.col("largest").isNull() | (F.col("root") != F.col("largest")))
+    a, b = ask.alias("a"), lists.alias("b")
+    short, c = F.col("a.largest").isNull(), F.col
+    reach = F.least("a.place", "b.place") + 1 + F.least(c("a.n") - c("a.place"), c("b.n") - c("b.place")) - 1
+    near = (c("a.shingle") == c("b.shingle")) & (c("a.root") != c("b.root")) & (~short | (c("a.node") < c("b.node")))
+    near = near & (9 * reach >= 4 * (c("a.n") + c("b.n"))) & (5 * F.least("a.n", "b.n") >= 4 * F.greatest("a.n", "b.n"))
+    pairs = a.join(b, near).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
+    return first.unionByName(verified(pairs, texts))
+
+
+def rooted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, list_limit: int = 24) -> DataFrame:
+    """doc_id, fp, root: the components of op5's links and of the links above together; ``root`` is a fingerprint."""
+    found = base.staged(marked(docs, id_col, text_col, width), "marked")
+    near = links(base.keyed_text(docs, id_col, text_col).filter("text IS NOT NULL"), list_limit)
+    # A node stands for all fingerprints of its texts (texts of equal sets can differ in order or repeats).
+    prints = base.staged(found.filter("node IS NOT NULL").select("node", "fp").distinct(), "prints")
+    least = prints.groupBy("node").agg(F.min("fp").alias("least"))
+    same = prints.join(least, "node").select(F.col("least").alias("u"), F.col("fp").alias("v"))
+    across = near.join(least.select(F.col("node").alias("u"), F.col("least").alias("fu")), "u").join(least.select(F.col("node").alias("v"), F.col("least").alias("fv")), "v").select(F.col("fu").alias("u"), F.col("fv").alias("v"))
+    different = base.staged(found.select("fp").distinct(), "different")
+    roots = simhash_dedup.components(simhash_dedup.links(different).unionByName(same).unionByName(across))
+    return found.select("doc_id", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "fp", F.coalesce("root", "fp").alias("root"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """One row of each component, one with its smallest id; all columns stay."""
+    return simhash_dedup.kept(docs, base.staged(rooted(docs, id_col, text_col, width), "rooted"), id_col, text_col, width)

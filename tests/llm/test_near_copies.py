@@ -1,0 +1,74 @@
+"""Near copies by whole five-word similarity, and one row for each component whatever its id."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rosterline.llm import near_copies, simhash_dedup
+
+SCHEMA = "doc_id long, text string"
+
+
+def plain_set(text):
+    words = text.lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.fixture(scope="module")
+def edited():
+    """Texts changed in so many places that five-word similarity runs from under 0.7 to 1; one group has 60 members."""
+    rng, texts = np.random.default_rng(7), []
+    for group, members in enumerate([60, 5, 4, 3, 2]):
+        words = [f"w{x}" for x in rng.integers(0, 50_000, 150)]
+        for member in range(members):
+            own = list(words)
+            for at in rng.choice(150, int(rng.integers(0, 7)), replace=False):
+                own[at] = f"new{group}x{member}x{at}"
+            texts.append(" ".join(own))
+    return texts + ["one two three", "one two three", "", "one common line of text in many texts", "All rights reserved."] + [f"one common line of text in many texts {i}" for i in range(40)]
+
+
+@pytest.mark.parametrize("limit", [2, 24])
+def test_every_pair_of_similarity_is_joined(spark, edited, limit):
+    df = spark.createDataFrame(list(enumerate(edited)), SCHEMA)
+    found = {r.doc_id: r.root for r in near_copies.rooted(df, list_limit=limit).collect()}
+    owned = [plain_set(t) for t in edited]
+    prints = {r.doc_id: r.fp for r in simhash_dedup.fingerprints(df).collect()}
+    near = lambda i, j: ((prints[i] ^ prints[j]) % 2**64).bit_count() <= 2 or len(owned[i] & owned[j]) >= 0.8 * len(owned[i] | owned[j]) > 0
+    left, groups = set(found), []
+    while left:
+        front, group = [left.pop()], set()
+        while front:
+            x = front.pop()
+            group.add(x)
+            more = [y for y in left if near(x, y)]
+            left.difference_update(more)
+            front += more
+        groups.append(frozenset(group))
+    by_root = {}
+    for i, root in found.items():
+        by_root.setdefault(root, set()).add(i)
+    assert {frozenset(g) for g in by_root.values()} == set(groups)
+
+
+def test_stage_takes_near_copies(spark, sf_dir):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words), " ".join(words[:100] + ["other"] + words[101:150] + ["more"] + words[151:]), " ".join(words[:150])]
+    kept = corpus_pipeline.one_of_each(spark, spark.createDataFrame(list(enumerate(texts)), SCHEMA), sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2]
+
+
+@pytest.mark.parametrize("keep", [simhash_dedup.keep_first, near_copies.keep_first])
+def test_rows_of_one_id_with_different_texts_stay(spark, keep, awkward, empty):
+    texts = [f"{x} " * 3 + f"text about {x} and nothing else {x}" for x in ("apples", "pears", "plums")]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (1, "rain over the hills this morning"), (1, "a wholly different subject altogether"), (2, "a wholly different subject altogether")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("fp", F.lit("own"))
+    out = keep(df)
+    assert out.columns == df.columns
+    assert sorted(r.text for r in out.collect()) == sorted({t for _, t in rows})
+    # A copy that shares its id with the first row of another component goes.
+    rows = [(1, texts[0]), (2, texts[1]), (2, texts[0])]
+    assert sorted(tuple(r) for r in keep(spark.createDataFrame(rows, SCHEMA)).collect()) == [(1, texts[0]), (2, texts[1])]
+    assert keep(awkward).columns == awkward.columns and keep(empty).count() == 0
