@@ -38,8 +38,12 @@ SENTENCES = {
     "bsd-name": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."],
     "gpl3-line": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3."],
     "gpl2-line": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2."],
-    "gpl-free": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
-    "gpl2-free": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
+    # "This program is free software" stands before a cut and tells no version; what follows it bears the identifiers.
+    "gpl-free": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "gpl2-free": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version."],
+    "gpl-terms": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;"],
+    "gpl3-later": ["either version 3 of the License, or (at your option) any later version."],
+    "gpl2-later": ["either version 2 of the License, or (at your option) any later version."],
     "gpl-hope": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
     "mpl2-line": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "mpl2-copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
@@ -59,8 +63,8 @@ RULES = [
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-hope"]),
     ("GPL-3.0-or-later", ["gpl-free"]),
-    ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope"]),
-    ("GPL-2.0-or-later", ["gpl2-free"]),
+    ("GPL-2.0-or-later", ["gpl-terms", "gpl2-later", "gpl-hope"]),
+    ("GPL-2.0-or-later", ["gpl-terms", "gpl2-later"]),
     ("MPL-2.0", ["mpl2-line"]),
     ("GPL-3.0-only", ["gpl3-line"]),
     ("GPL-2.0-only", ["gpl2-line"]),
@@ -71,6 +75,8 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc-by-sa-line"]),
     ("CC-BY-4.0", ["cc-by-line"]),
     ("Unlicense", ["unlicense"]),
+    ("GPL-3.0-or-later", ["gpl-terms", "gpl3-later"]),
+    ("GPL-2.0-or-later", ["gpl2-free"]),
 ]
 #: Every known sentence holds one of these words, so a text or sentence without them needs no look-up (``known`` checks it).
 MARKS = ("licen", "permission", "copyright", "redistribut", "warrant", "software", "unencumbered", "reserved", "obtain")
@@ -94,6 +100,8 @@ def known() -> dict[str, str]:
     for name, texts in SENTENCES.items():
         for text in texts:
             parts = [p for p in (normalised(x) for x in re.sub(SIGN, r"\1\n", text).split("\n")) if p]
+            if table.get(parts[0], name) != name:
+                raise ValueError(f"two identifiers for: {parts[0]}")
             table[parts[0]] = name
             for part in parts[1:]:  # those without a mark stay unknown
                 if any(m in part for m in MARKS):
