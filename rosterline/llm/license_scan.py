@@ -82,6 +82,8 @@ RULES = [
 MARKS = ("licen", "permission", "copyright", "redistribut", "warrant", "software", "unencumbered", "reserved", "obtain")
 #: Where a sentence ends: a sign before white space. Cut marks are line feeds.
 SIGN = r"([.!?;:])\s+"
+#: A sentence that is only the number or letter of a list item, and such a lead before a bracket, which no cut parts.
+LIST_ITEM, LIST_LEAD = r"^(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})$", r"^[^a-z0-9]*(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})\)\s*"
 LONE_END, EMPTY_LINE = r"\s*\n\s*", r"\n[ \t\r]*\n"
 
 
@@ -126,11 +128,12 @@ def sequence(text: Column, by_line: bool, table: dict[str, str] | None = None) -
     else:
         joined = F.regexp_replace(F.regexp_replace(text, EMPTY_LINE, "\x01"), LONE_END, " ")
         cut = F.regexp_replace(F.replace(joined, F.lit("\x01"), F.lit("\n")), SIGN, "$1\n")
-    parts = F.filter(F.transform(F.split(cut, "\n"), F.trim), lambda s: s != "")
+    parts = F.filter(F.transform(F.split(cut, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
     def identifier(s):
-        plain = F.trim(F.regexp_replace(s, "[^a-z0-9.+]+", " "), F.lit(" ."))
-        return F.when(marked(s), F.coalesce(F.element_at(F.create_map(*pairs), plain), F.lit("-"))).otherwise("-")
+        bare = lambda x: F.trim(F.regexp_replace(x, "[^a-z0-9.+]+", " "), F.lit(" ."))
+        name = F.coalesce(F.element_at(F.create_map(*pairs), bare(F.regexp_replace(s, LIST_LEAD, ""))), F.lit("-"))
+        return F.when(marked(s), name).when((F.length(s) < 16) & bare(s).rlike(LIST_ITEM), "").otherwise("-")
 
     return F.filter(F.transform(parts, identifier), lambda i: i != "")
 

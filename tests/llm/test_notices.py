@@ -29,3 +29,27 @@ def test_one_sentence_has_one_identifier(monkeypatch):
     monkeypatch.setitem(license_scan.SENTENCES, "other", ["All rights reserved."])
     with pytest.raises(ValueError):
         license_scan.known()
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{0} Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+{1} Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NAME = """
+{2} Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_numbered_bsd(spark):
+    leads = [("1.", "2.", "3."), ("(1)", "(2)", "(3)"), ("a)", "b)", "c)"), ("*", "*", "*")]
+    texts = [t.format(*x) for t in (BSD, BSD + NAME) for x in leads]
+    texts += ["\n".join(f"# {line}".rstrip() for line in t.replace("\n\n", "\n").split("\n")) for t in (texts[0], texts[4])]
+    assert licences(spark, texts) == ["BSD-2-Clause"] * 4 + ["BSD-3-Clause"] * 4 + ["BSD-2-Clause", "BSD-3-Clause"]
