@@ -26,8 +26,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold no benchmark item."""
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Rows that hold no benchmark item and are none, whole or clipped."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), clipped=True)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ item's. Candidates come from a multi-index: eight blocks of eight bits, of which
 RADIUS // 8 bits, so the blocks guarantee all fingerprints within the radius. They are verified by the weighted
 similarity of the two multisets, the sum of smaller counts over the sum of larger counts, at ``least`` (0.8) or more.
 
+A text with fewer shingles than an item, but at least 0.8 of them, is compared with it as one window (``clipped``).
+
 Only windows that can pass are looked at: a similarity of 0.8 needs 0.8 of the item's shingles in the window, so a
 window is skipped, without loss, where fewer of its shingles occur in the benchmark at all.
 
@@ -116,8 +118,8 @@ class Items:
             table[(keys >> np.uint64(44)).astype(np.int64)] = True
             self.known[width] = (keys, [sorted(lengths[k]) for k in keys.tolist()], table)
 
-    def find(self, text: str) -> list[tuple[int, float, int, int]]:
-        """(item, similarity, first word, words) of the best window of each item found."""
+    def find(self, text: str, clipped: bool = False) -> list[tuple[int, float, int, int]]:
+        """(item, similarity, first word, words) of the best window of each item found; ``clipped``: see ``find`` below."""
         words = self.words(text)
         best: dict[tuple[int, int], tuple[float, int]] = {}
         for width, (keys, lengths, table) in self.known.items():
@@ -138,8 +140,11 @@ class Items:
                 for length in lengths[k]:
                     spots.setdefault(length, []).append(hit)
             for length, where in spots.items():
-                self._windows(hashes, held, length, length - width + 1, np.array(where), best)
-        return [(self.by_length[length][0][k], sim, start, length) for (length, k), (sim, start) in sorted(best.items())]
+                size = length - width + 1
+                if clipped and size > len(hashes) >= self.least * size - 1e-9:
+                    size = len(hashes)  # the whole text is the one window
+                self._windows(hashes, held, length, size, np.array(where), best)
+        return [(self.by_length[length][0][k], sim, start, min(length, len(words))) for (length, k), (sim, start) in sorted(best.items())]
 
     def _windows(self, hashes, held, length, size, hits, best) -> None:
         """Windows of ``size`` shingles that hold a hit and enough shingles of the benchmark."""
@@ -196,8 +201,11 @@ def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "tex
         yield [tuple(r) for r in rows.filter(part == k).collect()]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.8) -> DataFrame:
-    """doc_id, item_id, similarity, start_word, n_words for every item of ``benchmark`` found in a text of ``docs``."""
+def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.8, clipped: bool = False) -> DataFrame:
+    """doc_id, item_id, similarity, start_word, n_words for every item of ``benchmark`` found in a text of ``docs``.
+
+    ``clipped``: also texts that are a shortened item as a whole, as the queries ask for.
+    """
     spark, schema = docs.sparkSession, "doc_id long, item_id long, similarity double, start_word long, n_words long"
     parts: list[DataFrame] = []
     for rows in blocks(benchmark, item_col, item_text_col):
@@ -205,7 +213,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
         def body(batch, shared=shared):
             items = shared.items()
-            found = [(key, *hit) for key, text in zip(batch.column("doc_id").to_pylist(), base.texts(batch)) for hit in items.find(text)]
+            found = [(key, *hit) for key, text in zip(batch.column("doc_id").to_pylist(), base.texts(batch)) for hit in items.find(text, clipped)]
             columns = list(zip(*found)) or [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
@@ -214,17 +222,17 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that hold no item; all columns stay."""
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.8, clipped: bool = False) -> DataFrame:
+    """The rows of ``docs`` that hold no item; all columns stay. ``clipped`` as in ``find``."""
     for rows in blocks(benchmark, item_col, item_text_col):
-        docs = docs.filter(_free(Shared(docs.sparkSession, rows, least))(F.col(text_col)))
+        docs = docs.filter(_free(Shared(docs.sparkSession, rows, least), clipped)(F.col(text_col)))
     return docs
 
 
-def _free(shared: Shared):
+def _free(shared: Shared, clipped: bool):
     @F.pandas_udf("boolean")
     def free(text: pd.Series) -> pd.Series:
         items = shared.items()
-        return pd.Series([not items.find(t or "") for t in text], dtype=bool)
+        return pd.Series([not items.find(t or "", clipped) for t in text], dtype=bool)
 
     return free

@@ -48,7 +48,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), clipped=True)
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
