@@ -56,7 +56,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return personal_data.digests(personal_data.scan(table(spark, sf_dir, "documents")))
+    return personal_data.digests(personal_data.scan(table(spark, sf_dir, "documents"), iban_by_country=True))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
