@@ -1,4 +1,4 @@
-"""The ten operators as queries over the whole given tables, and the SQL that checks those it can express."""
+"""The operators as queries over the whole given tables, and the SQL that checks those it can express."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import ann, decontam, language_id, license_scan, personal_data, piece_codec, quality, secret_scan, simhash_dedup, token_files
+from rosterline.llm import ann, decontam, divergence, language_id, license_scan, personal_data, piece_codec, quality, resample, secret_scan, simhash_dedup, token_files
 from rosterline.llm.base import table
 from rosterline.llm.oracles import ORACLES
 
@@ -59,8 +59,19 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digests(personal_data.scan(table(spark, sf_dir, "documents"), iban_by_country=True))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_license_scan, op2_sentencepiece, op3_token_files, op4_language_id, op5_simhash_dedup, op6_nearest_vectors, op7_quality, op8_decontaminate, op9_secrets, op10_personal_data)
+    for f in (
+        op1_license_scan, op2_sentencepiece, op3_token_files, op4_language_id, op5_simhash_dedup, op6_nearest_vectors, op7_quality,
+        op8_decontaminate, op9_secrets, op10_personal_data, op11_source_divergence, op12_importance_resample,
+    )
 }
 __all__ = ["ORACLES", "QUERIES"]
