@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import ann, decontam, divergence, language_id, license_scan, personal_data, piece_codec, quality, resample, secret_scan, simhash_dedup, token_files
+from rosterline.llm import ann, decontam, divergence, language_id, license_scan, personal_data, piece_codec, quality, resample, secret_scan, simhash_dedup, token_files, toxicity
 from rosterline.llm.base import table
 from rosterline.llm.oracles import ORACLES
 
@@ -67,11 +67,15 @@ def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_sentencepiece, op3_token_files, op4_language_id, op5_simhash_dedup, op6_nearest_vectors, op7_quality,
-        op8_decontaminate, op9_secrets, op10_personal_data, op11_source_divergence, op12_importance_resample,
+        op8_decontaminate, op9_secrets, op10_personal_data, op11_source_divergence, op12_importance_resample, op13_toxicity,
     )
 }
 __all__ = ["ORACLES", "QUERIES"]
