@@ -15,27 +15,29 @@ from .joins import _distinct_keys
 def with_row_key(df: DataFrame, order: Sequence[Column | str], name: str = "row_key", base: Column | int = 0) -> DataFrame:
     """Dense keys ``base + 1 ..`` in the given order, without a one-task window.
 
-    Rows are range-partitioned and sorted, then staged so both passes see the
-    same partitions. Equal rows of the order are told apart by a digest of the
-    whole row, so a value that many rows share still spreads over partitions.
-    The only window runs over one row per partition.
+    The rows are staged once, each with a place. Only the order's columns and the place are dealt to ranges and sorted; the
+    rows come back by their place. Equal rows of the order are told apart by a digest of the whole row and then
+    by place, so a value that many rows share still spreads over partitions. The only window runs over one row per
+    partition.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    staged = stage(df.repartitionByRange(width, *order).sortWithinPartitions(*order))
-    numbered = staged.withColumn("_at", F.monotonically_increasing_id())
-    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = numbered.select("*", part.alias("_part"), place.alias("_place")).drop("_at")
-    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rows = stage(df.withColumns({"_digest": digest, "_place": F.monotonically_increasing_id()}), "rows")
+    order = [*order, F.col("_digest"), F.col("_place")]
+    # Numbered while they are written: partition in the upper bits, place in the range in the lower 33.
+    ranged = rows.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    placed = stage(ranged.select(F.col("_place").alias("_at_place"), F.monotonically_increasing_id().alias("_at")), "places")
+    part, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col("_part").alias("_offset_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # One row per partition of the staged places: bounded by the partition count.
+    keyed = placed.select("_at_place", part.alias("_part"), within.alias("_within")).join(F.broadcast(offsets), "_part")
+    keyed = keyed.select("_at_place", (F.col("_offset") + F.col("_within") + 1).alias("_key"))
     base = F.lit(base) if isinstance(base, int) else base
-    # One row per partition of the staged rows: bounded by the partition count.
-    joined = numbered.join(F.broadcast(offsets), F.col("_part") == F.col("_offset_part"))
-    return joined.select(*df.columns, (base + F.col("_offset") + F.col("_place") + 1).cast("bigint").alias(name))
+    joined = rows.join(keyed, F.col("_place") == F.col("_at_place"))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (base + F.col("_key")).cast("bigint").alias(name))
 
 
 def fix_person_id(df: DataFrame, column: str, people: DataFrame, key: str, name: str) -> DataFrame:

@@ -6,7 +6,9 @@ what has landed and stops, which is how a scheduled task uses it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import moment
 from ..operators.ranking import latest_row_per_key
+from ..sources.folders import Folder
 
 # File name templates of landed applications and documents.
 APPLICATION_NAME = r"^DICAS_([^_]*)_([^_]*)_([^_]*)_([^_]*)_([^_.]*)\.csv$"
@@ -70,6 +73,8 @@ def latest_versions(rows: DataFrame, key: Sequence[str], version: Sequence[str])
 
 def run_available(stream: DataFrame, checkpoint: str, each_batch) -> None:
     """Run what has landed; ``each_batch(frame, batch_id)`` must be safe to repeat for one id."""
+    if isinstance(each_batch, Appended):
+        each_batch = each_batch.under(stream.sparkSession, checkpoint)
     query = (
         stream.writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint)
@@ -79,17 +84,33 @@ def run_available(stream: DataFrame, checkpoint: str, each_batch) -> None:
     query.awaitTermination()
 
 
-def append_batches(path: str):
-    """A batch writer whose repeats replace their own earlier output."""
+@dataclass(frozen=True)
+class Appended:
+    """A batch writer whose repeats replace their own earlier output.
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    Batch numbers begin anew with each checkpoint, so ``run_available`` gives each checkpoint a folder of its own: output
+    of an earlier checkpoint is never overwritten. A folder that holds batches without one goes on as it is.
+    """
 
-    return write
+    path: str
+
+    def under(self, spark: SparkSession, checkpoint: str) -> Appended:
+        if any(n.startswith("batch=") for n in Folder(spark, self.path).listing()):
+            return self
+        mark = Folder(spark, checkpoint)
+        mark.write_new("output-name", uuid.uuid4().hex)  # once for each checkpoint
+        return Appended(f"{self.path}/stream={mark.read('output-name')}")
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+
+def append_batches(path: str) -> Appended:
+    return Appended(path)
 
 
 def merge_batches(path: str, key: Sequence[str], version: Sequence[str]):
-    """A batch writer that keeps the latest version per key.
+    """A batch writer that keeps the latest version per key of a small table; ``state.LatestVersions`` rewrites touched buckets only.
 
     Batch n reads the state of batch n - 1 and writes its own, so a repeat of a
     batch writes the same state again. The current state is the highest
@@ -108,6 +129,8 @@ def merge_batches(path: str, key: Sequence[str], version: Sequence[str]):
 def dedupe_overlap(stream: DataFrame, key: Sequence[str], event_time: str, window: str = "8 days") -> DataFrame:
     """Rows that each run pulls again are dropped; in a stream, state is bounded by the watermark.
 
+    A stream loses rows behind its watermark; ``state.SeenOnce`` keeps them.
+
     A batch keeps the latest row of each key; equal times are settled by the other columns.
     """
     if stream.isStreaming:
