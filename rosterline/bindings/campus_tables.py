@@ -18,7 +18,10 @@ from pyspark.sql import types as T
 from ..models.campus import SCHEMAS
 from ..session import prepare
 from ..sources.registry import TableRegistry
+from ..staging import stage
 
+#: Derivations that many others read: computed once for each query.
+STAGED = ("LINE", "SEC")
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
 
 TERM = "CASE quarter(o_orderdate) WHEN 1 THEN 'WINTER' WHEN 2 THEN 'SPRING' WHEN 3 THEN 'SUMMER' ELSE 'FALL' END"
@@ -260,7 +263,7 @@ class CampusFrames(Mapping):
         text = DERIVED[name].replace("{NTZ}", "TIMESTAMP_NTZ")
         df = self._spark.sql(text, **{n: self._frame(n) for n in references(text)})
         if not columns:
-            return df
+            return stage(df, name.lower()) if name in STAGED else df
         have = {c.lower() for c in df.columns}
         return df.select(*[(F.col(c) if c.lower() in have else F.lit(None)).cast(k).alias(c) for c, k in columns])
 

@@ -198,10 +198,10 @@ def balance_with_pending(t: Tables):
 
 @query("""
 SELECT l.p_partkey, p.p_partkey AS match_key FROM part l LEFT JOIN part p
-ON p.p_brand = l.p_brand AND p.p_size = l.p_size AND starts_with(p.p_name, substr(l.p_name, 1, 5))""")
+ON p.p_brand = l.p_brand AND p.p_size = l.p_size AND starts_with(p.p_name, l.p_name)""")
 def text_key_match(t: Tables):
     noted = t.part.select(
-        "p_partkey", "p_size", F.concat(F.lit("2020/"), F.col("p_brand"), F.lit("/"), F.substring("p_name", 1, 5)).alias("note")
+        "p_partkey", "p_size", F.concat(F.lit("2020/"), F.col("p_brand"), F.lit("/"), F.col("p_name")).alias("note")
     )
     return joins.text_match(
         noted, "note", r"/(Brand#[0-9]+)/(.*)$", t.part, {"p_size": "p_size"}, "p_brand", "p_name", {"match_key": "p_partkey"}

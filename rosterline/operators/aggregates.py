@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .joins import semi
 
@@ -71,9 +72,9 @@ def overlap_counts(
 
     An interval meets every interval that starts by its end, except those that
     ended before its start. Counts of starts and ends are first combined per
-    (entity, moment); the running totals then run over distinct moments only,
-    so a hot entity costs its calendar, not its rows. Pairs within one key do
-    not count; with ``unique_key`` no interval repeats and one exchange is saved.
+    (entity, moment). Running totals go in two levels: over the days of an entity (as many rows as its calendar has days),
+    and over the moments of one day; so no task holds an entity with many rows. Repeats of a row (same
+    key and interval) do not pair; with ``unique_key`` no interval repeats and one exchange is saved.
     """
     valid = df.filter(F.col(start) <= F.col(end))
     if unique_key:
@@ -98,7 +99,19 @@ def overlap_counts(
     points = moments.groupBy(entity, "_at").agg(
         F.sum("_s").alias("_s"), F.sum("_e").alias("_e"), F.sum("_own").alias("_own")
     )
-    upto = Window.partitionBy(entity).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = points.withColumns({"_started": F.sum("_s").over(upto), "_ended": F.sum("_e").over(upto) - F.col("_e")})
+    dates_only = all(isinstance(df.schema[c].dataType, T.DateType) for c in (start, end))
+    keys = [entity]
+    if not dates_only:
+        points = points.withColumn("_day", F.col("_at").cast("date"))
+        keys = [entity, "_day"]
+        days = points.groupBy(*keys).agg(F.sum("_s").alias("_ds"), F.sum("_e").alias("_de"))
+        earlier = Window.partitionBy(entity).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+        sums = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(n) for c, n in (("_ds", "_before_s"), ("_de", "_before_e"))]
+        points = points.join(days.select(*keys, *sums), keys)
+    upto = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    started, ended = F.sum("_s").over(upto), F.sum("_e").over(upto) - F.col("_e")
+    if not dates_only:
+        started, ended = started + F.col("_before_s"), ended + F.col("_before_e")
+    running = points.withColumns({"_started": started, "_ended": ended})
     total = F.sum(F.col("_e") * F.col("_started") - F.col("_s") * F.col("_ended") - F.col("_own"))
     return running.groupBy(entity).agg(total.cast("bigint").alias(name)).filter(F.col(name) > 0)

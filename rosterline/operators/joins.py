@@ -99,6 +99,26 @@ def not_in_per_group(
     return kept.drop("_has_null", *[f"_g_{i}" for i in range(len(pairs))])
 
 
+def _day_bucket(c: Column, bucket_days: int) -> Column:
+    return F.floor(F.unix_date(c.cast("date")) / F.lit(bucket_days)).cast("int")
+
+
+def _wide(bucket: Column, width: Column) -> Column:
+    """The bucket of 2^width times the days that holds a bucket."""
+    return F.call_function("shiftright", bucket, width)
+
+
+def _width(start: Column, end: Column, bucket_days: int) -> Column:
+    """Power of two of the narrowest buckets that are no shorter than an interval."""
+    return F.ceil(F.log2(_day_bucket(end, bucket_days) - _day_bucket(start, bucket_days) + 1)).cast("int")
+
+
+def interval_buckets(start: Column, end: Column, bucket_days: int = 1) -> Column:
+    """The buckets of an interval, two at most, as an array."""
+    width = _width(start, end, bucket_days)
+    return F.sequence(_wide(_day_bucket(start, bucket_days), width), _wide(_day_bucket(end, bucket_days), width))
+
+
 def overlap_pairs(
     df: DataFrame,
     entity: str,
@@ -111,41 +131,43 @@ def overlap_pairs(
 ) -> DataFrame:
     """Pairs of intervals of one entity that overlap (ends included), different keys, both orders.
 
-    Intervals are written to day buckets and joined on (entity, bucket), so the
-    work per task is bounded by one entity's day, not by the entity, and no pair
-    is met twice. Within one set, each interval goes to all its buckets on the
-    left but only to that of its start on the right: a pair is found where its
-    later interval starts, and mirrored afterwards. With a ``second`` set for the
-    right side both sides go to all their buckets, and a pair is kept in the
-    bucket of its later start. ``carry`` columns come out with suffixes 1 and 2.
+    Two intervals overlap where the later one starts inside the earlier one. Buckets have widths of ``bucket_days`` times a
+    power of two. An interval goes to the buckets of the narrowest width that is no shorter than itself: two at most,
+    whatever its length. A start goes to its bucket of each width that occurs among the intervals (one scalar read
+    by the plan). They are joined on (entity, width, bucket), so the work per task is bounded by what one entity has in a
+    stretch about as long as the intervals are, and no pair is met twice.
+
+    Within one set, a pair is found at its later start and mirrored; with a ``second`` set for the right side, the starts
+    of each set meet the intervals of the other. ``carry`` columns come out with suffixes 1 and 2.
     """
     columns = [entity, key, start, end, *carry]
-    origin = F.lit("1900-01-01").cast("date")
 
-    def bucket(c: Column) -> Column:
-        return F.floor(F.date_diff(c.cast("date"), origin) / F.lit(bucket_days)).cast("int")
-
-    def side(frame: DataFrame, n: int, spread: bool) -> DataFrame:
-        picked = frame.select(*[F.col(c).alias(f"{c}{n}") for c in columns]).filter(
-            F.col(f"{start}{n}") <= F.col(f"{end}{n}")
-        )
-        first, last = bucket(F.col(f"{start}{n}")), bucket(F.col(f"{end}{n}"))
-        return picked.withColumn(f"_b{n}", F.explode(F.sequence(first, last)) if spread else first)
+    def side(frame: DataFrame, n: int) -> DataFrame:
+        s, e = F.col(f"{start}{n}"), F.col(f"{end}{n}")
+        picked = frame.select(*[F.col(c).alias(f"{c}{n}") for c in columns]).filter(s <= e)
+        return picked.withColumn(f"_w{n}", _width(s, e, bucket_days))
+
+    def meet(spans: DataFrame, i: int, starts: DataFrame, j: int, strictly: bool) -> DataFrame:
+        """Intervals of side ``i`` beside those of side ``j`` that start in them."""
+        s, e, at = F.col(f"{start}{i}"), F.col(f"{end}{i}"), F.col(f"{start}{j}")
+        widths = spans.agg(F.collect_set(f"_w{i}").alias("w")).scalar()
+        spans = spans.withColumn(f"_b{i}", F.explode(interval_buckets(s, e, bucket_days)))
+        starts = starts.withColumn(f"_w{j}", F.explode(widths)).withColumn(f"_b{j}", _wide(_day_bucket(at, bucket_days), F.col(f"_w{j}")))
+        same = (F.col(f"{entity}{i}") == F.col(f"{entity}{j}")) & (F.col(f"_w{i}") == F.col(f"_w{j}")) & (F.col(f"_b{i}") == F.col(f"_b{j}"))
+        inside = (at > s if strictly else at >= s) & (at <= e) & (F.col(f"{key}{i}") != F.col(f"{key}{j}"))
+        return spans.join(starts, same & inside).withColumn(entity, F.col(f"{entity}1")).select(*pairwise)
 
     pairwise = [entity, *[f"{c}{n}" for c in (key, start, end, *carry) for n in (1, 2)]]
-    a, b = side(df, 1, True), side(df if second is None else second, 2, second is not None)
-    s1, e1, s2, e2 = (F.col(c) for c in (f"{start}1", f"{end}1", f"{start}2", f"{end}2"))
-    same = (a[f"{entity}1"] == b[f"{entity}2"]) & (a["_b1"] == b["_b2"]) & (a[f"{key}1"] != b[f"{key}2"])
     if second is not None:
-        joined = a.join(b, same & (s1 <= e2) & (s2 <= e1)).filter(F.col("_b1") == bucket(F.greatest(s1, s2)))
-        return joined.withColumn(entity, F.col(f"{entity}1")).select(*pairwise)
-
-    found = a.join(b, same & (s2 >= s1) & (s2 <= e1)).withColumn(entity, F.col(f"{entity}1"))
+        a, b = side(df, 1), side(second, 2)
+        return meet(a, 1, b, 2, False).unionByName(meet(b, 2, a, 1, True))
+    found = meet(side(df, 1), 1, side(df, 2), 2, False)
     swapped = [
         F.col(f"{c[:-1]}{3 - int(c[-1])}").alias(c) if c != entity else F.col(c) for c in pairwise
     ]
     # Equal starts meet in both orders by themselves.
-    both = F.when(s1 < s2, F.array(F.struct(*pairwise), F.struct(*swapped))).otherwise(F.array(F.struct(*pairwise)))
+    earlier = F.col(f"{start}1") < F.col(f"{start}2")
+    both = F.when(earlier, F.array(F.struct(*pairwise), F.struct(*swapped))).otherwise(F.array(F.struct(*pairwise)))
     return found.select(F.inline(both))
 
 
@@ -225,29 +247,21 @@ def prefix_lookup(
 ) -> DataFrame:
     """Value of the longest code whose length equals the number's and whose prefix begins it.
 
-    One equality join per prefix length that occurs (read
-    from the code table), longest first. Each is on (length,
-    leading digits) against one row per key, so there is no range join.
+    Each different number goes out once with its prefixes of the lengths that codes have (one scalar read by the plan), meets
+    the codes in one join on (length, prefix), and keeps the longest by an aggregate; a second join on the number brings
+    the value back to the rows. Nothing runs while the query is planned. Numbers that no code reaches have no value.
     """
-    keyed = codes.select(
+    unique = codes.select(
         F.col(prefix).cast("string").alias("_p"), F.col(length).cast("int").alias("_n"), F.col(value).alias("_v")
-    )
-    unique = keyed.groupBy("_p", "_n").agg(F.min("_v").alias("_v"))
-    sizes = sorted((r[0] for r in keyed.select(F.length("_p")).distinct().collect()), reverse=True)
-    out, hits = df, []
-    for size in sizes:
-        codes_k = unique.filter(F.length("_p") == size).select(
-            F.col("_p").alias(f"_p{size}"), F.col("_n").alias(f"_n{size}"), F.col("_v").alias(f"_v{size}")
-        )
-        out = out.join(
-            codes_k,
-            (F.substring(F.rtrim(F.col(number)), 1, size) == codes_k[f"_p{size}"])
-            & (F.length(F.rtrim(F.col(number))) == codes_k[f"_n{size}"]),
-            "left",
-        ).drop(f"_p{size}", f"_n{size}")
-        hits.append(F.col(f"_v{size}"))
-    found = F.coalesce(*hits) if hits else F.lit(None)
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], found.alias(name))
+    ).groupBy("_p", "_n").agg(F.min("_v").alias("_v"))
+    sizes = unique.agg(F.collect_set(F.length("_p")).alias("s")).scalar()
+    digits = F.rtrim(F.col(number))
+    numbers = df.select(digits.alias("_number")).filter("_number IS NOT NULL").distinct()
+    begun = numbers.select("_number", F.length("_number").alias("_n"), F.explode(sizes).alias("_size"))
+    begun = begun.filter("_size <= _n").withColumn("_p", F.substring("_number", F.lit(1), F.col("_size")))
+    best = begun.join(unique, ["_n", "_p"]).groupBy("_number").agg(F.max_by("_v", "_size").alias("_found"))
+    joined = df.join(best, digits == best["_number"], "left")
+    return joined.select(*[df[f"`{c}`"] for c in df.columns], F.col("_found").alias(name))
 
 
 def blank_safe_columns(columns: Sequence[str]) -> list[Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .joins import anti
+from .joins import anti, semi
 
 
 def union_branches(branches: Sequence[DataFrame], distinct: bool = False) -> DataFrame:
@@ -29,24 +29,34 @@ def compare_sets(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFr
     return flags.select(*on, side.alias("side"))
 
 
+def group_closure(edges: DataFrame) -> DataFrame:
+    """(parent, member) of groups that reach each other over any number of steps; ``edges`` are between groups.
+
+    Paths double: each round joins what is reached in up to n steps with itself, so the rounds grow with the logarithm of the
+    depth. A group on a cycle reaches itself. Rounds are staged, which keeps the plan short.
+    """
+    reach = stage(edges.distinct(), "reach")
+    n = reach.count()
+    while n:
+        steps = reach.select(F.col("parent").alias("_from"), F.col("member").alias("parent")).join(
+            reach, "parent"
+        ).select(F.col("_from").alias("parent"), "member")
+        reach = stage(reach.unionByName(steps).distinct(), "reach")
+        before, n = n, reach.count()
+        if n == before:
+            break
+    return reach
+
+
 def flatten_membership(edges: DataFrame, roots: DataFrame, leaves_only: bool = True) -> DataFrame:
     """Members reached from each root through nested groups; safe on cycles.
 
-    ``edges`` has (parent, member), ``roots`` has (root). Every round joins the
-    new (root, member) pairs with the edges and keeps pairs not seen before;
-    rounds are staged on shared storage so that the plan stays short.
+    ``edges`` has (parent, member), ``roots`` has (root). Only groups (members that are parents themselves) take part in the
+    rounds; the other members are attached to the groups reached by one join at the end.
     """
-    edges = stage(edges.select("parent", "member").distinct())
-    step = roots.select("root", F.col("root").alias("member")).distinct()
-    seen = stage(step)
-    frontier = seen
-    while not frontier.isEmpty():
-        reached = (
-            frontier.join(edges, frontier["member"] == edges["parent"])
-            .select("root", edges["member"].alias("member"))
-            .distinct()
-        )
-        frontier = stage(anti(reached, seen, ["root", "member"]))
-        seen = seen.unionByName(frontier)
-    found = seen.filter(F.col("root") != F.col("member"))
+    edges = stage(edges.select("parent", "member").distinct(), "edges")
+    reach = group_closure(semi(edges, edges.select(F.col("parent").alias("_group")), {"member": "_group"}))
+    own = roots.select("root", F.col("root").alias("parent")).distinct()
+    groups = own.unionByName(own.join(reach, "parent").select("root", F.col("member").alias("parent"))).distinct()
+    found = groups.join(edges, "parent").select("root", "member").distinct().filter(F.col("root") != F.col("member"))
     return anti(found, edges, {"member": "parent"}) if leaves_only else found

@@ -14,6 +14,7 @@ from ..models import campus as m
 from ..operators import aggregates, filters, joins
 from ..operators.joins import SECTION_KEY
 from ..sources.registry import TableRegistry, find_value as search_tables
+from ..staging import stage
 
 
 def _meetings_of(who: DataFrame, person: str, meetings: DataFrame) -> DataFrame:
@@ -30,23 +31,23 @@ def _meetings_of(who: DataFrame, person: str, meetings: DataFrame) -> DataFrame:
 def _conflicts(t: TableRegistry, who: DataFrame, person: str, year: str | None, term: str | None) -> DataFrame:
     """Overlapping meetings of one person; only the first side is limited to the term.
 
-    Meetings begin and end on their day, so the second side needs only the days
-    of the first: its range is a scalar that prunes the calendar scan.
+    Meetings begin and end on their day, so only the days of the term matter: the calendar is staged once, its range of
+    days prunes it, and the persons' meetings on those days are staged for both sides of the join.
     """
     in_term = filters.optional_equals({"ACADEMIC_YEAR": year, "ACADEMIC_TERM": term})
+    limited = filters.given(year) or filters.given(term)
     meetings = m.scheduled_meetings(t)
-    first = second = _meetings_of(who, person, meetings)
-    if filters.given(year) or filters.given(term):
-        first = _meetings_of(who.filter(in_term), person, meetings)
+    if limited:
+        meetings = stage(meetings, "meetings")
         days = meetings.filter(in_term).agg(F.min("CALENDAR_DATE").alias("lo"), F.max("CALENDAR_DATE").alias("hi"))
-        same_days = F.col("CALENDAR_DATE").between(days.select("lo").scalar(), days.select("hi").scalar())
-        second = _meetings_of(who, person, meetings.filter(same_days))
+        meetings = meetings.filter(F.col("CALENDAR_DATE").between(days.select("lo").scalar(), days.select("hi").scalar()))
+    rows = stage(_meetings_of(who, person, meetings).withColumn("_listed", in_term if limited else F.lit(True)), "persons-meetings")
     pairs = joins.overlap_pairs(
-        first, "PEOPLE_CODE_ID", "Start", "End", "CALENDAR_KEY",
-        carry=["EVENT_ID", "EVENT_SUB_TYPE", "SECTION", "DAY", "DAY_OF_WEEK", "_sync"], second=second,
-    )
+        rows, "PEOPLE_CODE_ID", "Start", "End", "CALENDAR_KEY",
+        carry=["EVENT_ID", "EVENT_SUB_TYPE", "SECTION", "DAY", "DAY_OF_WEEK", "_sync", "_listed"],
+    ).filter("_listed1")
     asynchronous = F.when(F.col("_sync1") | F.col("_sync2"), "N").otherwise("Y")
-    return pairs.withColumn("Async", asynchronous).drop("_sync1", "_sync2")
+    return pairs.withColumn("Async", asynchronous).drop("_sync1", "_sync2", "_listed1", "_listed2")
 
 
 def student_conflicts(t: TableRegistry, year: str | None = None, term: str | None = None) -> DataFrame:
