@@ -192,17 +192,15 @@ class PieceCodec:
         """The text of ids; control ids have none, and one leading blank belongs to the model."""
         plain = self.plain
         text = "".join([plain[i] for i in ids])
-        if text.startswith(" ") and self.pieces[next(i for i in ids if plain[i])].startswith(BLANK):
-            text = text[1:]
+        led = text.startswith(" ") and self.pieces[next(i for i in ids if plain[i])].startswith(BLANK)
         try:
             text.encode()
         except UnicodeEncodeError:
             parts: list[list[str]] = [[]]
             for i in ids:  # an id without text ends a character written as bytes
                 parts.append([]) if plain[i] == "" else parts[-1].append(plain[i])
-            whole = "".join(_text("".join(p).encode("utf-8", "surrogateescape")) for p in parts)
-            text = whole[1:] if whole[:1] == " " != text[:1] else whole
-        return text
+            text = "".join(_text("".join(p).encode("utf-8", "surrogateescape")) for p in parts)
+        return text[1:] if led else text
 
 
 def _text(run: bytes) -> str:

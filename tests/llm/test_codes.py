@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
@@ -20,6 +20,8 @@ TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 @settings(max_examples=300, deadline=None)
+@example(" \u0655")
+@example("  \u0655 \u0655")
 @given(st.text(st.characters(exclude_categories=["Cs"]) | st.sampled_from("the in ▁\n.,<>/0x"), max_size=60))
 def test_pieces_equal_the_library(text):
     ids = CODEC.encode(text)
