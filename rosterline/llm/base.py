@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.staging import ensure_checkpoint_dir
+from rosterline.staging import new_folder, stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,14 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def run_folder(spark: SparkSession, what: str) -> str:
     """A new path in the folder that all executors share."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    return new_folder(spark, what)
 
 
 def staged(df: DataFrame, what: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: a short lineage that outlives executors."""
-    path = run_folder(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage(df, what)
 
 
 def keyed_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -7,13 +7,14 @@ item's. Candidates come from a multi-index: eight blocks of eight bits, of which
 RADIUS // 8 bits, so the blocks guarantee all fingerprints within the radius. They are verified by the weighted
 similarity of the two multisets, the sum of smaller counts over the sum of larger counts, at ``least`` (0.8) or more.
 
-A text with fewer shingles than an item, but at least 0.8 of them, is compared with it as one window (``clipped``).
+A text with fewer shingles than an item, but at least 0.8 of them, is compared with it as one window.
 
 Only windows that can pass are looked at: a similarity of 0.8 needs 0.8 of the item's shingles in the window, so a
 window is skipped, without loss, where fewer of its shingles occur in the benchmark at all.
 
-The benchmark is taken in blocks whose size is checked (``block_items`` rows and ``block_chars`` characters), each read
-by every executor in turn; documents are never shuffled. A radius of 24 of 64 bits leaves out a window of similarity
+The benchmark is taken in blocks whose size is checked (``block_items`` rows and ``block_chars`` characters).
+``PASS_BLOCKS`` of them at most go to every executor for one pass over the documents, and each worker builds each block's tables
+once; more blocks take more passes. Documents are never shuffled. A radius of 24 of 64 bits leaves out a window of similarity
 0.8 about once in a hundred thousand.
 
 Nulls and texts without words match nothing. Each row is judged alone: repeated rows and items give repeated results,
@@ -41,6 +42,7 @@ WORD = re.compile(r"[^\W_]+")
 WIDTH = 5
 RADIUS = 24
 BLOCKS = 8
+PASS_BLOCKS = 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.arange(256, dtype=np.uint8)
 #: near[a, b]: the bytes a and b differ in RADIUS // BLOCKS bits at most.
@@ -118,8 +120,8 @@ class Items:
             table[(keys >> np.uint64(44)).astype(np.int64)] = True
             self.known[width] = (keys, [sorted(lengths[k]) for k in keys.tolist()], table)
 
-    def find(self, text: str, clipped: bool = False) -> list[tuple[int, float, int, int]]:
-        """(item, similarity, first word, words) of the best window of each item found; ``clipped``: see ``find`` below."""
+    def find(self, text: str) -> list[tuple[int, float, int, int]]:
+        """(item, similarity, first word, words) of the best window of each item found."""
         words = self.words(text)
         best: dict[tuple[int, int], tuple[float, int]] = {}
         for width, (keys, lengths, table) in self.known.items():
@@ -141,7 +143,7 @@ class Items:
                     spots.setdefault(length, []).append(hit)
             for length, where in spots.items():
                 size = length - width + 1
-                if clipped and size > len(hashes) >= self.least * size - 1e-9:
+                if size > len(hashes) >= self.least * size - 1e-9:
                     size = len(hashes)  # the whole text is the one window
                 self._windows(hashes, held, length, size, np.array(where), best)
         return [(self.by_length[length][0][k], sim, start, min(length, len(words))) for (length, k), (sim, start) in sorted(best.items())]
@@ -177,18 +179,31 @@ class Items:
 
 
 class Shared:
-    """A block that travels as its rows; the tables are built once in each Python worker."""
+    """Blocks of one pass that travel as their rows; each block's tables are built once in each Python worker."""
 
     ready: dict[str, Items] = {}
+    built = 0  # tables built in this worker
 
-    def __init__(self, spark, rows: list[tuple[int, str]], least: float):
-        self.name, self.least, self.rows = uuid.uuid4().hex, least, spark.sparkContext.broadcast(rows)
+    def __init__(self, spark, listed: list[list[tuple[int, str]]], least: float):
+        self.least, self.names = least, [uuid.uuid4().hex for _ in listed]
+        self.rows = [spark.sparkContext.broadcast(rows) for rows in listed]
 
-    def items(self) -> Items:
-        if self.name not in Shared.ready:
-            Shared.ready.clear()
-            Shared.ready[self.name] = Items(self.rows.value, self.least)
-        return Shared.ready[self.name]
+    def items(self) -> list[Items]:
+        if not all(n in Shared.ready for n in self.names):
+            Shared.ready = {n: Items(rows.value, self.least) for n, rows in zip(self.names, self.rows)}
+            Shared.built += len(self.names)
+        return [Shared.ready[n] for n in self.names]
+
+
+def passes(spark, benchmark: DataFrame, item_col: str, text_col: str, least: float, **bounds) -> Iterator[Shared]:
+    held: list[list[tuple[int, str]]] = []
+    for rows in blocks(benchmark, item_col, text_col, **bounds):
+        held.append(rows)
+        if len(held) == PASS_BLOCKS:
+            yield Shared(spark, held, least)
+            held = []
+    if held:
+        yield Shared(spark, held, least)
 
 
 def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_items: int = 20_000, block_chars: int = 32_000_000) -> Iterator[list[tuple[int, str]]]:
@@ -201,19 +216,15 @@ def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "tex
         yield [tuple(r) for r in rows.filter(part == k).collect()]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.8, clipped: bool = False) -> DataFrame:
-    """doc_id, item_id, similarity, start_word, n_words for every item of ``benchmark`` found in a text of ``docs``.
-
-    ``clipped``: also texts that are a shortened item as a whole, as the queries ask for.
-    """
+def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.8, **bounds) -> DataFrame:
+    """doc_id, item_id, similarity, start_word, n_words for every item of ``benchmark`` found in a text of ``docs``; ``bounds`` of ``blocks``."""
     spark, schema = docs.sparkSession, "doc_id long, item_id long, similarity double, start_word long, n_words long"
     parts: list[DataFrame] = []
-    for rows in blocks(benchmark, item_col, item_text_col):
-        shared = Shared(spark, rows, least)
+    for shared in passes(spark, benchmark, item_col, item_text_col, least, **bounds):
 
         def body(batch, shared=shared):
-            items = shared.items()
-            found = [(key, *hit) for key, text in zip(batch.column("doc_id").to_pylist(), base.texts(batch)) for hit in items.find(text, clipped)]
+            held = shared.items()
+            found = [(key, *hit) for key, text in zip(batch.column("doc_id").to_pylist(), base.texts(batch)) for items in held for hit in items.find(text)]
             columns = list(zip(*found)) or [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
@@ -222,17 +233,17 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.8, clipped: bool = False) -> DataFrame:
-    """The rows of ``docs`` that hold no item; all columns stay. ``clipped`` as in ``find``."""
-    for rows in blocks(benchmark, item_col, item_text_col):
-        docs = docs.filter(_free(Shared(docs.sparkSession, rows, least), clipped)(F.col(text_col)))
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.8, **bounds) -> DataFrame:
+    """The rows of ``docs`` that hold no item; all columns stay. What a pass leaves is staged for the next one."""
+    for k, shared in enumerate(passes(docs.sparkSession, benchmark, item_col, item_text_col, least, **bounds)):
+        docs = (base.staged(docs, "clean") if k else docs).filter(_free(shared)(F.col(f"`{text_col}`")))
     return docs
 
 
-def _free(shared: Shared, clipped: bool):
+def _free(shared: Shared):
     @F.pandas_udf("boolean")
     def free(text: pd.Series) -> pd.Series:
-        items = shared.items()
-        return pd.Series([not items.find(t or "", clipped) for t in text], dtype=bool)
+        held = shared.items()
+        return pd.Series([not any(items.find(t or "") for items in held) for t in text], dtype=bool)
 
     return free

@@ -7,11 +7,13 @@ share after equal priors.
 
 The probabilities come from expectation maximisation: forward and backward sums over the counted words of the labelled
 rows give each piece's expected count, summed by language and piece on Spark. At most about ``train_rows`` labelled rows
-are used (taken by a hash of their ids; all rows below the bound). The driver holds vocabulary times languages numbers.
+are used: each language's share of the bound, taken by a hash of id and text, so that a rare language is learned too (all rows
+below the bound). The driver holds vocabulary times languages numbers.
 
 The whole text is used. Texts without letters, nulls and empties are ``und`` with score 0; with no learned language so
-is every text. Letters the vocabulary lacks have a small fixed probability. Runs of over 40 letters are scored in stretches of
-40. Equal scores go to the language that is first in order. Rows are scored independently: repeated rows alike, an empty
+is every text. Letters the vocabulary lacks have a small fixed probability. Runs of over ``LONG`` letters (joined words, scripts
+without blanks) go through the recursion one by one, scaled as they go, in a window of the longest piece; only training
+cuts them. Equal scores go to the language that is first in order. Rows are scored independently: repeated rows alike, an empty
 table gives an empty result; other columns are not read.
 """
 
@@ -32,7 +34,9 @@ from pyspark.sql import functions as F
 from rosterline.llm import base
 
 BLANK = "▁"
-WORD = re.compile(r"[^\W\d_]{1,40}")
+WORD = re.compile(r"[^\W\d_]+")
+LONG = 40  # letters up to which words share a matrix
+CUT = re.compile(rf"[^\W\d_]{{1,{LONG}}}")
 UNKNOWN = "und"
 CHUNK = 2048  # words a matrix holds
 STRETCH = 50_000  # words looked up at once
@@ -141,18 +145,46 @@ class Model:
             self.scores = grown
         self.scores[size : size + len(new)] = np.concatenate(found)
 
+    def long_totals(self, word: str) -> np.ndarray:
+        """Logarithm of the sum over all segmentations of a word of any length, for each language."""
+        kept, automaton = vocabulary(self.model_path)
+        room, text = max(map(len, kept)) + 1, BLANK + word
+        # Sums up to the last places, by place modulo ``room``; ``logs`` is what has been divided out.
+        sums, logs = np.zeros((room, len(self.languages))), np.zeros(len(self.languages))
+        sums[0] = 1
+        found = automaton.iter(text)
+        ahead = next(found, None)
+        for e in range(1, len(text) + 1):
+            own = []
+            while ahead is not None and ahead[0] + 1 == e:
+                own.append(ahead[1])
+                ahead = next(found, None)
+            total = np.zeros(len(self.languages))
+            for token, size in own:
+                total += sums[(e - size) % room] * self.p[:, token]
+            if not any(size == 1 for _, size in own):
+                total += sums[(e - 1) % room] * self.p[:, -1]
+            if total.min() < 1e-100:
+                scale = np.maximum(total, 1e-300)
+                sums, total, logs = sums / scale, total / scale, logs + np.log(scale)
+            sums[e % room] = total
+        return logs + np.log(np.maximum(sums[len(text) % room], 1e-300))
+
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and share of each text."""
         languages, scores = [], []
         counted = [Counter(WORD.findall(t.lower())) for t in texts] if self.languages else [Counter() for _ in texts]
         # The words of many texts at once; a text with very many in stretches of its own.
-        self.learn_words(list({w for c in counted if len(c) <= STRETCH for w in c}))
+        self.learn_words(list({w for c in counted if len(c) <= STRETCH for w in c if len(w) <= LONG}))
         for text, c in zip(texts, counted):
             if not self.languages or not any(map(str.isalpha, text)):
                 languages.append(UNKNOWN)
                 scores.append(0.0)
                 continue
-            total, names = np.zeros(len(self.languages)), list(c)
+            total, names = np.zeros(len(self.languages)), [w for w in c if len(w) <= LONG]
+            for word in c:
+                if len(word) > LONG:
+                    total += c[word] * self.long_totals(word)
             for at in range(0, len(names), STRETCH):
                 part = names[at : at + STRETCH]
                 if len(names) > STRETCH or any(w not in self.memo for w in part):
@@ -170,10 +202,12 @@ def train(labelled: DataFrame, model_path: str, text_col: str = "text", lang_col
     """Fit on the rows of ``labelled`` that have a language; about ``train_rows`` of them at most."""
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang IS NOT NULL")
     spark = labelled.sparkSession
-    n = rows.select("lang").count()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    n, languages = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     if n > train_rows:
         grain = 1 << 30
-        rows = rows.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(grain)) < int(grain * train_rows / n))
+        share = sizes.select("lang", (F.lit(grain * train_rows / languages) / F.col("n")).cast("long").alias("share"))
+        rows = rows.join(share, "lang").filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(grain)) < F.col("share")).select("doc_id", "lang", "text")
 
     def words(batches):
         held: Counter = Counter()
@@ -186,7 +220,7 @@ def train(labelled: DataFrame, model_path: str, text_col: str = "text", lang_col
 
         for batch in base.pieces(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), base.texts(batch)):
-                for word, k in Counter(WORD.findall(text.lower())).items():
+                for word, k in Counter(CUT.findall(text.lower())).items():
                     held[lang, word] += k
             if len(held) > 200_000:
                 yield out()

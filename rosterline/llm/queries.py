@@ -16,6 +16,7 @@ from rosterline.llm.oracles import ORACLES
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 TRAIN_ROWS = 20_000  # labelled rows a classifier is fitted on at most
+SHINGLE_WORDS = 3  # of a fingerprint
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash_dedup.groups(table(spark, sf_dir, "documents"), width=3)
+    found = simhash_dedup.groups(table(spark, sf_dir, "documents"), width=SHINGLE_WORDS)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -48,7 +49,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), clipped=True)
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +57,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return personal_data.digests(personal_data.scan(table(spark, sf_dir, "documents"), iban_by_country=True))
+    return personal_data.digests(personal_data.scan(table(spark, sf_dir, "documents")))
 
 
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

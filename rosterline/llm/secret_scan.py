@@ -129,8 +129,8 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]", allo
 
     All rows and columns stay; a null text stays null.
     """
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    found = _scanned(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), row.alias("row")), ["text", "row"], allowed, window)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = _scanned(docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), row.alias("row")), ["text", "row"], allowed, window)
     kinds = ["assign", "access", "hex", *CLASSES]
     cuts = F.array_sort(F.concat(*[F.transform(F.col(k), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in kinds]))
     found = found.select("text", "row", cuts.alias("cuts"))

@@ -203,9 +203,10 @@ def brute_items(text, items, least=0.8):
         target, hashes = decontam.shingles(w, width), decontam.shingles(own, width)
         if not np.isin(target, hashes).any():
             continue
-        sims = [(decontam.similarity(hashes[i : i + len(target)], target), -i) for i in range(len(hashes) - len(target) + 1)]
+        size = min(len(target), len(hashes))  # a shorter text is one window
+        sims = [(decontam.similarity(hashes[i : i + size], target), -i) for i in range(len(hashes) - size + 1)]
         if sims and max(sims)[0] >= least:
-            out[item] = (max(sims)[0], -max(sims)[1], len(w))
+            out[item] = (max(sims)[0], -max(sims)[1], min(len(w), len(own)))
     return out
 
 

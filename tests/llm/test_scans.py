@@ -94,6 +94,20 @@ def iban(value):
     return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
+def account_end(t, at):
+    """Where an account number that begins at ``at`` ends by its country's length, single blanks apart."""
+    length = next((n for n, c in personal_data.IBAN_LENGTHS.items() if t[at : at + 2] in c.split()), None)
+    if not length or not re.fullmatch("[0-9]{2}", t[at + 2 : at + 4]):
+        return None
+    end, left = at + 4, length - 4
+    while left:
+        end += t[end : end + 1] == " "
+        if not re.match("[A-Z0-9]", t[end : end + 1]):
+            return None
+        end, left = end + 1, left - 1
+    return end
+
+
 def personal(t):
     out = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
@@ -101,9 +115,16 @@ def personal(t):
     out += [("card", m) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
     out += [("phone", m) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(digits(m)) <= 15]
     first = ",".join(f"{k}:{m.start()}:{m.end()}" for k, m in out)
-    outer = re.compile("[A-Za-z0-9]")
-    more = [m for m in re.finditer(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", t) if not outer.match(t[m.start() - 1 : m.start()] or " ") and not outer.match(t[m.end() : m.end() + 1] or " ") and iban(m[0])]
-    return first, ",".join([*filter(None, [first]), *(f"iban:{m.start()}:{m.end()}" for m in more)])
+    more, at, outer = [], 0, re.compile("[A-Za-z0-9]")
+    while at < len(t):  # what has its country's length and stands alone; the checksum decides afterwards
+        end = account_end(t, at) if not outer.match(t[at - 1 : at] or " ") else None
+        if end and not outer.match(t[end : end + 1] or " "):
+            if iban(t[at:end]):
+                more.append((at, end))
+            at = end
+        else:
+            at += 1
+    return first, ",".join([*filter(None, [first]), *(f"iban:{i}:{j}" for i, j in more)])
 
 
 def test_personal_data(tricky, empty):
