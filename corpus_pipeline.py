@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import decontam, language_id, near_copies, piece_codec, secret_scan
-from rosterline.llm.base import staged, table
-from rosterline.llm.queries import PIECES, TRAIN_ROWS
+from rosterline import staging
+from rosterline.llm import decontam, language_id, piece_codec, secret_scan, simhash_dedup
+from rosterline.llm.base import table
+from rosterline.llm.queries import PIECES, SHINGLE_WORDS, TRAIN_ROWS
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,13 +22,13 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: texts of five-word similarity 0.8 or more, and op5's fingerprint groups."""
-    return near_copies.keep_first(docs)
+    """One row of each group that op5's fingerprints link (three-word shingles, two differing bits)."""
+    return simhash_dedup.keep_first(docs, width=SHINGLE_WORDS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no benchmark item and are none, whole or clipped."""
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), clipped=True)
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what a stage stages for itself goes as soon as its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with staging.run(spark):
+            docs = staging.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
