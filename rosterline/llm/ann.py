@@ -109,7 +109,7 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", dims: int | None = None, tables: int = 8, probes: int = 9, shard_rows: int = 4096, query_block: int = 4096) -> DataFrame:
+def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", dims: int | None = None, tables: int = 12, probes: int = 8, shard_rows: int = 4096, query_block: int = 4096) -> DataFrame:
     """query_id, rank (from 1), vec_id, score for the rows of which ``is_query`` (over vec_id, vector) holds."""
     df = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     df = df.filter(F.col("vec_id").isNotNull() & F.coalesce(usable(F.col("vector")), F.lit(False)))

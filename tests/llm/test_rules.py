@@ -1,13 +1,14 @@
 """Rules that hold for whole texts and many rows: long words, dotted names, several blocks, labels by language, one stage."""
 
 import math
+import os
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rosterline import staging
-from rosterline.llm import decontam, language_id, queries, quality, secret_scan, simhash_dedup
+from rosterline.llm import ann, decontam, language_id, queries, quality, secret_scan, simhash_dedup
 
 PIECES = queries.PIECES
 
@@ -167,3 +168,26 @@ def test_pipeline_leaves_only_its_last_table(spark, sf_dir):
         corpus_pipeline.run(spark, sf_dir).count()
         left = [p.rpartition("/")[2].rpartition("-")[0] for p in staging.staged_paths(spark) if p not in before]
         assert left == [n.replace(" ", "-") for n, _ in corpus_pipeline.STAGES[:-1]]
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_nearest_vectors_are_found_on_every_given_table(spark, scale):
+    path = f"/root/testdata/{scale}/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    rows = spark.read.parquet(path)
+    table = [(r["vec_id"], r["embedding"]) for r in rows.collect()]
+    table = [(i, np.array(v)) for i, v in table if v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    ids, vectors = np.array([i for i, _ in table]), np.stack([v for _, v in table])
+    units = vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
+    # Every tenth row asks: 50 queries on the small tables, 200 on the large one.
+    found = {}
+    for r in ann.search(rows, F.col("vec_id") % 10 == 0).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = asked = 0
+    for i in ids[ids % 10 == 0]:
+        cosine = units @ units[ids == i][0]
+        cosine[ids == i] = -np.inf
+        best = {int(x) for x in ids[np.lexsort((ids, -cosine))[:5]]}
+        hits, asked = hits + len(best & found[int(i)]), asked + len(best)
+    assert hits / asked >= 0.9
