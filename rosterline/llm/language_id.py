@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.llm import base
+from rosterline.operators.joins import few_valued
 
 BLANK = "▁"
 WORD = re.compile(r"[^\W\d_]+")
@@ -207,7 +208,8 @@ def train(labelled: DataFrame, model_path: str, text_col: str = "text", lang_col
     if n > train_rows:
         grain = 1 << 30
         share = sizes.select("lang", (F.lit(grain * train_rows / languages) / F.col("n")).cast("long").alias("share"))
-        rows = rows.join(share, "lang").filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(grain)) < F.col("share")).select("doc_id", "lang", "text")
+        rows = few_valued(rows, share, ["lang"], {"share": "share"})  # texts are not moved by their language
+        rows = rows.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(grain)) < F.col("share")).select("doc_id", "lang", "text")
 
     def words(batches):
         held: Counter = Counter()

@@ -6,11 +6,13 @@ signs) and looked up in a table of known licence sentences. What remains is a se
 order, and what a rule matches is taken out of the sequence, so that short rules see only what longer ones left.
 
 Texts are cut in two ways, at line ends and sentence signs, and at sentence signs and empty lines only (for wrapped
-paragraphs); a licence is reported if either way finds it. Only built-in expressions on one pass over the rows, no
-exchange; the table and the rules are constants of the plan.
+paragraphs). A licence is reported if either way finds it, but a rule that only one way finds gives way to a longer rule that
+the other way finds and that holds it (a wrapped last condition makes BSD-3 of what looks like BSD-2 line by line).
+Only built-in expressions on one pass over the rows, no exchange; the table and the rules are constants of the plan.
 
-Null and empty texts have no sentences and no licence. Rows are independent of each other: repeated rows give repeated
-results, an empty table an empty one. Other columns are not read.
+Null and empty texts have no sentences and no licence. Very long texts are cut whole, in memory in proportion to the text.
+Rows are independent of each other: repeated rows give repeated results, an empty table an empty one. Of rules that match
+the same sentences the first in order takes them. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -47,18 +49,66 @@ SENTENCES = {
     "gpl-hope": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
     "mpl2-line": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "mpl2-copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
-    "cc-by-line": ["Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "cc-by-sa-line": ["Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "cc-by-nc-line": ["Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "unlicense": ["This is free and unencumbered software released into the public domain."],
     "rights": ["All rights reserved."],
+    "mit0-grant": ['Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.'],
+    "0bsd-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
+    "bsd-advert": ["All advertising materials mentioning features or use of this software must display the following acknowledgement:", "All advertising materials mentioning features or use of this software must display the following acknowledgment:"],
+    "ncsa-source": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimers."],
+    "zlib-grant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"],
+    "boost-grant": ['Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:'],
+    "boost-line": ["Distributed under the Boost Software License, Version 1.0."],
+    "postgresql-grant": ["Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies."],
+    "cc0-waiver": ["To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide."],
+    "wtfpl-title": ["DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE"],
+    "mpl11-line": ['The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License");'],
+    "cddl-line": ['The contents of this file are subject to the terms of the Common Development and Distribution License (the "License").'],
+    "epl1-line": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"],
+    "epl2-line": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"],
+    "cpl-line": ["This program and the accompanying materials are made available under the terms of the Common Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/cpl-v10.html"],
+    "ofl-line": ["This Font Software is licensed under the SIL Open Font License, Version 1.1."],
+    "afl-line": ["Licensed under the Academic Free License version 3.0"],
+    "osl-line": ["Licensed under the Open Software License version 3.0"],
+    "ruby-line": ["Ruby is copyrighted free software by Yukihiro Matsumoto <matz@netlab.com>."],
+    "openssl-credit": ['This product includes software developed by the OpenSSL Project for use in the OpenSSL Toolkit. (http://www.openssl.org/)'],
+    "apache11-credit": ["The end-user documentation included with the redistribution, if any, must include the following acknowledgment:"],
+    "x11-name": ["Except as contained in this notice, the name of the X Consortium shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from the X Consortium."],
+    "lgpl-terms": ["you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation;"],
+    "lgpl21-later": ["either version 2.1 of the License, or (at your option) any later version."],
+    "lgpl21-free": ["you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version."],
+    "lgpl3-free": ["you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "agpl-terms": ["you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation;"],
+    "agpl3-free": ["you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
 }
+# What the letters of a Creative Commons licence stand for.
+CC_WORDS = {
+    "by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nc": "Attribution-NonCommercial", "by-nd": "Attribution-NoDerivatives",
+    "by-nc-sa": "Attribution-NonCommercial-ShareAlike", "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
+}
+# Licences by the name that a line gives them.
+NAMED = {
+    "ISC": "ISC License", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License", "Zlib": "zlib License", "BSL-1.0": "Boost Software License 1.0",
+    "CC0-1.0": "CC0 1.0 Universal License", "EPL-2.0": "Eclipse Public License 2.0", "MPL-2.0": "Mozilla Public License 2.0", "Artistic-2.0": "Artistic License 2.0",
+    "LGPL-2.1-only": "GNU Lesser General Public License, version 2.1", "LGPL-3.0-only": "GNU Lesser General Public License, version 3",
+    "AGPL-3.0-only": "GNU Affero General Public License, version 3", "OFL-1.1": "SIL Open Font License 1.1", "MS-PL": "Microsoft Public License", "MS-RL": "Microsoft Reciprocal License",
+    "EUPL-1.2": "European Union Public License 1.2", "PostgreSQL": "PostgreSQL License", "NCSA": "University of Illinois/NCSA Open Source License", "UPL-1.0": "Universal Permissive License 1.0",
+    "Vim": "Vim License", "ODbL-1.0": "Open Database License 1.0", "PDDL-1.0": "Public Domain Dedication and License 1.0", "ECL-2.0": "Educational Community License 2.0",
+    "CECILL-2.1": "CeCILL License 2.1", "QPL-1.0": "Q Public License 1.0", "LPPL-1.3c": "LaTeX Project Public License 1.3c", "BlueOak-1.0.0": "Blue Oak Model License 1.0.0",
+    "MulanPSL-2.0": "Mulan Permissive Software License 2.0", "0BSD": "Zero-Clause BSD License",
+}
+for _kind, _words in CC_WORDS.items():
+    for _version, _port, _tail in (("4.0", "International", ""), ("3.0", "Unported", "-3.0")):
+        _name = f"CC {_kind.upper()} {_version}"
+        SENTENCES[f"cc-{_kind}{_tail}-line"] = [f"Licensed under {_name}.", f"This work is licensed under {_name}.", f"This work is licensed under a Creative Commons {_words} {_version} {_port} License."]
+for _id, _name in NAMED.items():
+    SENTENCES[f"line-{_id.lower()}"] = [f"{_lead} the {_name}." for _lead in ("Licensed under", "Released under", "This project is licensed under", "This work is licensed under")]
 # Ordered rules: licence and sequence of identifiers. Longer rules stand before their parts.
 RULES = [
     ("Apache-2.0", ["apache-line", "apache-comply", "apache-copy", "apache-asis"]),
     ("MIT", ["mit-grant", "mit-notice", "mit-asis", "mit-liability"]),
     ("MIT", ["mit-grant", "mit-notice", "mit-asis"]),
     ("ISC", ["isc-grant"]),
+    ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advert"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-hope"]),
@@ -71,17 +121,43 @@ RULES = [
     ("Apache-2.0", ["apache-line", "apache-comply"]),
     ("Apache-2.0", ["apache-line"]),
     ("MIT", ["mit-line"]),
-    ("CC-BY-NC-4.0", ["cc-by-nc-line"]),
-    ("CC-BY-SA-4.0", ["cc-by-sa-line"]),
-    ("CC-BY-4.0", ["cc-by-line"]),
     ("Unlicense", ["unlicense"]),
     ("GPL-3.0-or-later", ["gpl-terms", "gpl3-later"]),
     ("GPL-2.0-or-later", ["gpl2-free"]),
+    ("X11", ["x11-name"]),
+    ("MIT-0", ["mit0-grant"]),
+    ("0BSD", ["0bsd-grant"]),
+    ("NCSA", ["ncsa-source"]),
+    ("Zlib", ["zlib-grant"]),
+    ("BSL-1.0", ["boost-grant"]),
+    ("BSL-1.0", ["boost-line"]),
+    ("PostgreSQL", ["postgresql-grant"]),
+    ("CC0-1.0", ["cc0-waiver"]),
+    ("WTFPL", ["wtfpl-title"]),
+    ("MPL-1.1", ["mpl11-line"]),
+    ("CDDL-1.0", ["cddl-line"]),
+    ("EPL-1.0", ["epl1-line"]),
+    ("EPL-2.0", ["epl2-line"]),
+    ("CPL-1.0", ["cpl-line"]),
+    ("OFL-1.1", ["ofl-line"]),
+    ("AFL-3.0", ["afl-line"]),
+    ("OSL-3.0", ["osl-line"]),
+    ("Ruby", ["ruby-line"]),
+    ("OpenSSL", ["openssl-credit"]),
+    ("Apache-1.1", ["apache11-credit"]),
+    ("LGPL-2.1-or-later", ["lgpl-terms", "lgpl21-later"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free"]),
+    ("LGPL-3.0-or-later", ["lgpl-terms", "gpl3-later"]),
+    ("LGPL-3.0-or-later", ["lgpl3-free"]),
+    ("AGPL-3.0-or-later", ["agpl-terms", "gpl3-later"]),
+    ("AGPL-3.0-or-later", ["agpl3-free"]),
+    *((f"CC-{kind.upper()}-{version}", [f"cc-{kind}{tail}-line"]) for kind in CC_WORDS for version, tail in (("4.0", ""), ("3.0", "-3.0"))),
+    *((name, [f"line-{name.lower()}"]) for name in NAMED),
 ]
 #: Every known sentence holds one of these words, so a text or sentence without them needs no look-up (``known`` checks it).
 MARKS = ("licen", "permission", "copyright", "redistribut", "warrant", "software", "unencumbered", "reserved", "obtain")
-#: Where a sentence ends: a sign before white space. Cut marks are line feeds.
-SIGN = r"([.!?;:])\s+"
+#: Where a sentence ends: a sign before white space, but for the dot of "v. 2.0". Cut marks are line feeds.
+SIGN = r"(?<!\bv)([.!?;:])\s+"
 #: A sentence that is only the number or letter of a list item, and such a lead before a bracket, which no cut parts.
 LIST_ITEM, LIST_LEAD = r"^(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})$", r"^[^a-z0-9]*(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})\)\s*"
 LONE_END, EMPTY_LINE = r"\s*\n\s*", r"\n[ \t\r]*\n"
@@ -101,7 +177,9 @@ def known() -> dict[str, str]:
     table = {}
     for name, texts in SENTENCES.items():
         for text in texts:
-            parts = [p for p in (normalised(x) for x in re.sub(SIGN, r"\1\n", text).split("\n")) if p]
+            parts = [p for p in (normalised(x) for x in re.sub(SIGN, r"\1\n", text.lower()).split("\n")) if p]
+            if any(c.isdigit() and not any(m in p for m in MARKS) for p in parts[1:] for c in p):
+                raise ValueError(f"a cut parts the version from: {parts[0]}")
             if table.get(parts[0], name) != name:
                 raise ValueError(f"two identifiers for: {parts[0]}")
             table[parts[0]] = name
@@ -157,6 +235,23 @@ def matched(sequence_text: Column, rules=RULES) -> Column:
     return F.when(F.contains(sequence_text, F.lit("<")), F.aggregate(rows, first, step, lambda acc: acc["out"])).otherwise(F.array().cast("array<struct<licence:string,rule:int>>"))
 
 
+def holders(rules) -> dict[int, list[int]]:
+    """For each rule the longer ones that hold its identifiers in a row."""
+    ids = ["".join(f"<{i}>" for i in own) for _, own in rules]
+    return {k: [j for j, other in enumerate(ids) if own in other and own != other] for k, own in enumerate(ids)}
+
+
+def settled(own: Column, other: Column, rules) -> Column:
+    """Findings of one cut without those that only it has where the other cut has a rule that holds theirs."""
+    longer = [(k, js) for k, js in holders(rules).items() if js]
+    if not longer:
+        return own
+    table = F.create_map(*[x for k, js in longer for x in (F.lit(k), F.array(*map(F.lit, js)))])
+    seen = F.transform(other, lambda g: g["rule"])
+    beaten = lambda f: ~F.array_contains(seen, f["rule"]) & F.coalesce(F.arrays_overlap(F.element_at(table, f["rule"]), seen), F.lit(False))
+    return F.filter(own, lambda f: ~beaten(f))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:
     """doc_id, licences (array, sorted), rules (array), n_known, sequence (by lines; one ``-`` for a text without marks)."""
     df = base.keyed_text(docs, id_col, text_col).select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text"))
@@ -165,7 +260,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=
     cut = {k: F.when(F.col("marked"), sequence(F.col("text"), k == "lines")).otherwise(none) for k in ("lines", "paragraphs")}
     df = df.select("doc_id", *[v.alias(k) for k, v in cut.items()])
     df = df.select("doc_id", "lines", flat(F.col("lines")).alias("by_line"), flat(F.col("paragraphs")).alias("by_paragraph"))
-    df = df.withColumn("found", F.concat(matched(F.col("by_line"), rules), matched(F.col("by_paragraph"), rules)))
+    df = df.withColumns({"hits": matched(F.col("by_line"), rules), "wide": matched(F.col("by_paragraph"), rules)})
+    df = df.withColumn("found", F.concat(settled(F.col("hits"), F.col("wide"), rules), settled(F.col("wide"), F.col("hits"), rules)))
     return df.select(
         "doc_id",
         F.array_sort(F.array_distinct(F.transform("found", lambda f: f["licence"]))).alias("licences"),

@@ -160,25 +160,35 @@ def test_licences(spark):
     assert [r.licences for r in found] == [x for _, x in LICENCES]
 
 
-def licence_brute(text):
-    """Rules over the sequence, sentence by sentence."""
-    out, low = set(), (text or "").lower()
-    table = license_scan.known()
+def sentences(low):
+    """Plain sentences of both cuts: by lines, and by paragraphs."""
     whole = re.sub(r"\s*\n\s*", " ", re.sub(r"\n[ \t\r]*\n", "\x01", low)).replace("\x01", "\n")
-    for cut in (low, whole):
-        ids = []
-        for s in re.sub(license_scan.SIGN, r"\1\n", cut, flags=re.A).split("\n"):
-            if s.strip(" "):
-                i = table.get(license_scan.normalised(s), "-")
-                if i and not (i == "-" and ids[-1:] == ["-"]):
-                    ids.append(i)
-        left = "".join("-" if i == "-" else f"<{i}>" for i in ids)
-        for licence, rule in license_scan.RULES:
-            text_rule = "".join(f"<{i}>" for i in rule)
-            if text_rule in left:
-                out.add(licence)
-                left = left.replace(text_rule, ".")
-    return ",".join(sorted(out))
+    plain = lambda s: re.sub(r"[^a-z0-9.+]+", " ", s).strip(" .")
+    return [[plain(s) for s in re.split(r"\n|(?:(?<=[.!?;:])(?<!\bv\.))\s+", cut, flags=re.A) if s.strip(" ")] for cut in (low, whole)]
+
+
+def licence_brute(text):
+    """Each rule looked for as runs of whole sentences in either cut, longer rules before their parts."""
+    low, hits = (text or "").lower(), []
+    of = {k: [[p for p in sentences(t.lower())[0]] for t in ts] for k, ts in license_scan.SENTENCES.items()}
+    marked = lambda p: any(m in p for m in license_scan.MARKS)
+    silent = {p for ts in of.values() for t in ts for p in t[1:] if marked(p)} - {t[0] for ts in of.values() for t in ts}
+    for cut in sentences(low):
+        cut = [s for s in cut if s not in silent]
+        taken, found = [False] * len(cut), set()
+        for k, (_, rule) in enumerate(license_scan.RULES):
+            for at in range(len(cut) - len(rule) + 1):
+                run = range(at, at + len(rule))
+                if all(not taken[i] and any(cut[i] == t[0] for t in of[name]) for i, name in zip(run, rule)):
+                    found.add(k)
+                    for i in run:
+                        taken[i] = True
+        hits.append(found)
+    text_of = lambda k: "/".join(license_scan.RULES[k][1])
+    kept = set()
+    for own, other in (hits, hits[::-1]):
+        kept |= {k for k in own if k in other or not any(text_of(k) in text_of(j) and j != k and text_of(j) != text_of(k) for j in other)}
+    return ",".join(sorted({license_scan.RULES[k][0] for k in kept}))
 
 
 def test_licences_of_documents(docs, rows, awkward, empty):
