@@ -91,6 +91,20 @@ def html_rows_per_key(t: Tables):
     )
 
 
+@query("""
+WITH r AS (SELECT o_orderpriority, '<tr><td>' || o_orderkey || '</td><td>' || o_orderstatus || '</td></tr>' AS tr,
+    row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1 AS n, count(*) OVER (PARTITION BY o_orderpriority) AS rows FROM orders),
+ c AS (SELECT o_orderpriority, n // 200 + 1 AS chunk, string_agg(tr, '' ORDER BY n) AS html FROM r GROUP BY ALL
+  UNION ALL SELECT DISTINCT o_orderpriority, 0, '<table class="merged"><thead><tr><th>Order</th><th>Status</th></tr></thead><tbody>' FROM r
+  UNION ALL SELECT DISTINCT o_orderpriority, (rows + 199) // 200 + 1, '</tbody></table>' FROM r)
+SELECT o_orderpriority, CAST(chunk AS BIGINT) AS chunk, html FROM c""")
+def html_chunks_per_key(t: Tables):
+    """Five keys with all orders among them, in texts of 200 rows."""
+    return rendering.render_chunks(
+        t.dated_orders, ["o_orderpriority"], ["d", "o_orderkey"], [F.col("o_orderkey"), F.col("o_orderstatus")], ["Order", "Status"], "merged", 200
+    )
+
+
 @query("""
 SELECT 'orders' AS table_name, max(o_orderkey) AS max_key, max(o_orderkey) + 1 AS next_key FROM orders
 UNION ALL SELECT 'customer', max(c_custkey), max(c_custkey) + 1 FROM customer
@@ -104,7 +118,7 @@ def key_high_water(t: Tables):
 
 @query("""SELECT event_id, user_id, event_type FROM (SELECT *, rank() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rk FROM events) WHERE rk = 1""")
 def latest_per_key(t: Tables):
-    return ranking.last_per_key(t.events, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]).select(
+    return ranking.latest_row_per_key(t.events, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]).select(
         "event_id", "user_id", "event_type"
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..models import campus as m
+from ..operators import sets
 from ..plans import identity, lookups, metadata, notices, quality, reports, writers
 from ..sources.registry import TableRegistry
 from .base import ORACLES, QUERIES, portable, portable_sql
@@ -370,6 +371,20 @@ def operator_offices(t):
     return reports.operator_offices(t)
 
 
+@plan("""SELECT p.PEOPLE_ID, p.PersonId, p.FIRST_NAME, p.LAST_NAME, pu.UserName, pu.NonQualifiedUserName, u.OPERATOR_ID, u.STATUS
+FROM PEOPLE p JOIN PersonUser pu ON pu.PersonId = p.PersonId LEFT JOIN ABT_USERS u ON u.PEOPLE_CODE_ID = p.PEOPLE_CODE_ID""")
+def operator_people(t):
+    return reports.operator_people(t)
+
+
+@plan("""SELECT 'TRANSCRIPTDETAIL' AS TableName, TranscriptDetailId, PEOPLE_CODE_ID, EVENT_ID, EVENT_SUB_TYPE FROM TRANSCRIPTDETAIL
+WHERE EVENT_SUB_TYPE = 'LECT' AND ACADEMIC_YEAR = '1999' AND ACADEMIC_TERM = 'FALL'""")
+def find_value_rows(t):
+    return reports.find_value_rows(t, "TRANSCRIPTDETAIL", "EVENT_SUB_TYPE", "LECT", "1999", "FALL").select(
+        "TableName", "TranscriptDetailId", "PEOPLE_CODE_ID", "EVENT_ID", "EVENT_SUB_TYPE"
+    )
+
+
 @plan("""SELECT ACTIONSCHEDULE_ID, PEOPLE_ORG_CODE_ID, ACTION_ID, CASE WHEN EXECUTION_DATE IS NOT NULL THEN 'Complete' WHEN CANCELED = 'Y' THEN 'Canceled' WHEN WAIVED = 'Y' THEN 'Waived'
   WHEN SCHEDULED_DATE > DATE '1999-11-23' THEN 'Future' WHEN SCHEDULED_DATE = DATE '1999-11-23' THEN 'Today' ELSE 'Past Due' END AS ACTION_STATUS FROM ACTIONSCHEDULE""")
 def action_status(t):
@@ -458,6 +473,26 @@ def tax_form_totals(t):
     return totals.select("side", "Rows", F.col("PaymentSum").cast("double").alias("PaymentSum"), F.col("DetailSum").cast("double").alias("DetailSum"))
 
 
+def form_chain(prefix: str) -> str:
+    """Forms of 1998 with their periods and details on one side."""
+    return f"""SELECT i.ReportedInformationId, s.ReportedPeriodSummaryId, d.ReportedSummaryDetailId, i.Payment, d.Amount FROM {prefix}Reported1098TInformation i
+  JOIN {prefix}Reported1098TPeriodSummary s ON s.ReportedInformationId = i.ReportedInformationId JOIN {prefix}Reported1098TSummaryDetail d ON d.ReportedPeriodSummaryId = s.ReportedPeriodSummaryId
+  WHERE i.TaxYear = 1998"""
+
+
+@plan(f"""WITH here AS ({form_chain("NEW_")}), there AS ({form_chain("")}), picked AS (
+  SELECT * FROM here ORDER BY md5(concat_ws('|', '0', ReportedInformationId, ReportedPeriodSummaryId, ReportedSummaryDetailId)), ReportedInformationId, ReportedPeriodSummaryId, ReportedSummaryDetailId LIMIT 5)
+SELECT p.ReportedInformationId, p.ReportedPeriodSummaryId, p.ReportedSummaryDetailId, CAST(p.Payment AS DOUBLE) AS new_payment, CAST(t.Payment AS DOUBLE) AS old_payment, CAST(t.Amount AS DOUBLE) AS old_amount
+FROM picked p LEFT JOIN there t ON t.ReportedInformationId = p.ReportedInformationId AND t.ReportedPeriodSummaryId = p.ReportedPeriodSummaryId AND t.ReportedSummaryDetailId = p.ReportedSummaryDetailId""")
+def sample_tax_forms(t):
+    """Five rows by a seed beside their counterparts; the limit is the sample's size."""
+    amount = lambda c, n: F.col(c).cast("double").alias(n)
+    return quality.sample_tax_forms(t, "old", "new", 1998).select(
+        "ReportedInformationId", "ReportedPeriodSummaryId", "ReportedSummaryDetailId", amount("here.Payment", "new_payment"),
+        amount("there.Payment", "old_payment"), amount("there.Amount", "old_amount"),
+    )
+
+
 @plan("""SELECT People_Code_Id, count(*) AS "Count" FROM Reported1098TInformation WHERE TaxYear = 1998 GROUP BY People_Code_Id HAVING count(*) > 1""")
 def repeated_tax_forms(t):
     return quality.repeated_tax_forms(t, "old", 1998)
@@ -524,6 +559,33 @@ def schedule_action(t):
     )
 
 
+def _action_requests(t):
+    first = F.col("FIRST_NAME")
+    return t["PEOPLE"].select(
+        F.col("PEOPLE_CODE_ID").alias("people_code_id"), F.when(first == "BUILDING", "unknown").when(first == "Pat", "1-URGENT").otherwise("2-HIGH").alias("action_id"),
+        F.when(first == "MACHINERY", "").otherwise("1999-12-24").alias("sched_date"), F.when(first == "HOUSEHOLD", "P999999999").alias("resp_staff"),
+    )
+
+
+@plan(f"""WITH {ACTION_REQ}
+SELECT PEOPLE_CODE_ID AS people_code_id, concat_ws('; ', CASE WHEN action_id = 'unknown' THEN 'action_id ''unknown'' not found' END,
+  CASE WHEN resp_staff IS NOT NULL THEN 'resp_staff ''' || resp_staff || ''' not found' END) AS errors
+FROM req WHERE sched_date <> '' AND (action_id = 'unknown' OR resp_staff IS NOT NULL)""")
+def refused_actions(t):
+    """Requests that name unknown actions or people, with what is wrong about each."""
+    return writers.schedule_action(t, _action_requests(t), NOW).rejected.select("people_code_id", F.concat_ws("; ", "errors").alias("errors"))
+
+
+@plan(f"""WITH {ACTION_REQ}
+SELECT '1999-11-23' AS CREATE_DATE, '1999-11-23 09:30:00' AS CREATE_TIME, 'DYNFORMS' AS CREATE_OPID, '0001' AS CREATE_TERMINAL, '1999-11-23' AS REVISION_DATE, '1999-11-23 09:30:00' AS REVISION_TIME,
+  'DYNFORMS' AS REVISION_OPID, '0001' AS REVISION_TERMINAL, '*' AS ABT_JOIN, count(*) AS n FROM req WHERE sched_date <> '' AND action_id <> 'unknown' AND resp_staff IS NULL HAVING count(*) > 0""")
+def action_audit(t):
+    """The audit columns that every inserted action carries."""
+    stamps = [f"{k}_{c}" for k in ("CREATE", "REVISION") for c in ("DATE", "TIME", "OPID", "TERMINAL")] + ["ABT_JOIN"]
+    rows = writers.schedule_action(t, _action_requests(t), NOW).accepted.changes
+    return rows.groupBy(*[F.col(c).cast("string").alias(c) for c in stamps]).agg(F.count("*").alias("n"))
+
+
 STOPS = """req AS (SELECT DISTINCT 'P' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS pid, CASE WHEN o_orderstatus = 'P' THEN '2-HIGH' ELSE o_orderpriority END AS reason FROM orders),
  ok AS (SELECT * FROM req WHERE reason IN (SELECT CODE_VALUE_KEY FROM CODE_STOPLIST WHERE STATUS <> 'I') AND pid IN (SELECT PEOPLE_CODE_ID FROM PEOPLE)),
  new AS (SELECT * FROM ok WHERE NOT EXISTS (SELECT 1 FROM STOPLIST s WHERE s.PEOPLE_CODE_ID = pid AND s.STOP_REASON = reason AND (s.CLEARED = 'N' OR s.CLEARED = 'Y' AND s.STOP_DATE = DATE '1999-11-23'))),
@@ -693,6 +755,42 @@ def migrate_institution_settings(t):
     )
 
 
+DETAILS = """fresh AS (SELECT d.LinkId FROM SiteMapOptionDetail d JOIN SiteMapOption o ON o.SiteMapOptionId = d.SiteMapOptionId JOIN opt n ON n.LinkId = o.LinkId
+  WHERE d.IsCustom AND d.LinkId NOT IN (SELECT LinkId FROM NEW_SiteMapOptionDetail)),
+det AS (SELECT SiteMapOptionDetailId, LinkId FROM NEW_SiteMapOptionDetail UNION ALL
+  SELECT (SELECT coalesce(max(SiteMapOptionDetailId), 0) FROM NEW_SiteMapOptionDetail) + row_number() OVER (ORDER BY LinkId), LinkId FROM fresh)"""
+ROLES = """gone AS (SELECT Name FROM AppRole WHERE ApplicationId = 1 AND Name NOT IN (SELECT Name FROM NEW_AppRole)),
+rol AS (SELECT AppRoleId, Name FROM NEW_AppRole UNION ALL SELECT (SELECT max(AppRoleId) FROM NEW_AppRole) + row_number() OVER (ORDER BY Name), Name FROM gone)"""
+
+
+@plan(f"""WITH {MIGRATED}, {DETAILS}, {ROLES}
+SELECT 'SiteMapOption' AS table_name, SiteMapOptionId AS entry_id, LinkId AS name FROM opt WHERE SiteMapOptionId NOT IN (SELECT SiteMapOptionId FROM NEW_SiteMapOption)
+UNION ALL SELECT 'SiteMapOptionDetail', SiteMapOptionDetailId, LinkId FROM det WHERE SiteMapOptionDetailId NOT IN (SELECT SiteMapOptionDetailId FROM NEW_SiteMapOptionDetail)
+UNION ALL SELECT 'AppRole', AppRoleId, Name FROM rol WHERE AppRoleId NOT IN (SELECT AppRoleId FROM NEW_AppRole)""")
+def migrate_entries(t):
+    """New menu entries, details and roles with the ids they get (no custom site role is among the derived ones)."""
+    out, parts = _migrated(t), {"SiteMapRole": ("SiteMapRoleId", "RoleName"), "SiteMapOption": ("SiteMapOptionId", "LinkId"),
+                                "SiteMapOptionDetail": ("SiteMapOptionDetailId", "LinkId"), "AppRole": ("AppRoleId", "Name")}
+    rows = [out[n].changes.select(F.lit(n).alias("table_name"), F.col(k).alias("entry_id"), F.col(v).alias("name")) for n, (k, v) in parts.items()]
+    return sets.union_branches(rows)
+
+
+@plan(f"""WITH {MIGRATED}, {DETAILS}
+SELECT n.SiteMapOptionDetailId, nr.SiteMapRoleId, r.IsVisible FROM SiteMapOptionDetailRole r JOIN SiteMapOptionDetail o ON o.SiteMapOptionDetailId = r.SiteMapOptionDetailId
+JOIN SiteMapRole orr ON orr.SiteMapRoleId = r.SiteMapRoleId JOIN det n ON n.LinkId = o.LinkId JOIN NEW_SiteMapRole nr ON nr.RoleName = orr.RoleName
+WHERE NOT EXISTS (SELECT 1 FROM NEW_SiteMapOptionDetailRole x WHERE x.SiteMapOptionDetailId = n.SiteMapOptionDetailId AND x.SiteMapRoleId = nr.SiteMapRoleId)""")
+def migrate_detail_links(t):
+    return _migrated(t)["SiteMapOptionDetailRole"].changes.select("SiteMapOptionDetailId", "SiteMapRoleId", "IsVisible")
+
+
+@plan(f"""WITH {ROLES}
+SELECT n.AppRoleId, c.AppClaimId FROM AppRoleClaim g JOIN AppRole o ON o.AppRoleId = g.AppRoleId JOIN rol n ON n.Name = o.Name
+JOIN AppClaim oc ON oc.AppClaimId = g.AppClaimId JOIN NEW_AppClaim c ON c.Name = oc.Name
+WHERE NOT EXISTS (SELECT 1 FROM NEW_AppRoleClaim x WHERE x.AppRoleId = n.AppRoleId AND x.AppClaimId = c.AppClaimId)""")
+def migrate_role_claims(t):
+    return _migrated(t)["AppRoleClaim"].changes.select("AppRoleId", "AppClaimId")
+
+
 # ---------------------------------------------------------------- small updates and metadata
 
 
@@ -789,6 +887,36 @@ def transcript_mismatch(t):
     return notices.transcript_mismatch(t, "self@x.edu", "registrar@x.edu").select("uniqueKey", "body")
 
 
+# Tables of canceled sections, in place of the campus ones of these names.
+CANCELED = {
+    "ACTIONSCHEDULE": "CANCELED_ACTIONS", "ACTION": "CANCELED_ACTION", "TRANSCRIPTMARKETING": "CANCELED_DROPS", "SECTIONS": "CANCELED_SECTIONS",
+    "CODE_EVENTSUBTYPE": "CANCELED_SUBTYPE",
+}
+
+
+def _canceled(t):
+    frames = t.databases["main"]
+    return t.alias(main={**{n: frames[n] for n in ("PEOPLE", "ABT_SETTINGS")}, **{n: frames._frame(c) for n, c in CANCELED.items()}})
+
+
+@plan(f"""SELECT a.PEOPLE_ORG_CODE_ID AS toId, a.UNIQUE_KEY AS uniqueKey, 'Section canceled' AS subject, 'Dear ' || {FIRST} || ': ' ||
+  CASE WHEN d.EVENT_ID IS NOT NULL THEN d.EVENT_ID || '/Lecture/' || d.SECTION || ' (Long & ' || d.EVENT_ID || ')' WHEN starts_with(ACTION_NAME, 'Section was canceled') THEN '01/' || split_part(ACTION_NAME, '/', 4) || '/' || split_part(ACTION_NAME, '/', 5)
+  ELSE '(unknown)' END || ' is off.' AS body FROM CANCELED_ACTIONS a JOIN PEOPLE p ON p.PEOPLE_CODE_ID = a.PEOPLE_ORG_CODE_ID LEFT JOIN CANCELED_DROPS d ON d.PEOPLE_CODE_ID = a.PEOPLE_ORG_CODE_ID
+  AND d.ACADEMIC_YEAR = a.ACADEMIC_YEAR AND d.ACADEMIC_TERM = a.ACADEMIC_TERM AND starts_with(ACTION_NAME, 'Canceled/') AND d.EVENT_ID = split_part(ACTION_NAME, '/', 2) AND d.SECTION = split_part(ACTION_NAME, '/', 3)
+WHERE COMPLETED <> 'Y'""")
+def section_canceled(t):
+    """Messages to all who lost a section: told by the drop record, by the action's name, or not at all."""
+    return notices.section_canceled(_canceled(t), "self@x.edu").select("toId", "uniqueKey", "subject", "body")
+
+
+@plan("SELECT ACTIONSCHEDULE_ID, 'Y' AS COMPLETED, '1999-11-23' AS EXECUTION_DATE, 'P000000000' AS COMPLETED_BY FROM CANCELED_ACTIONS WHERE COMPLETED <> 'Y'")
+def section_canceled_done(t):
+    """The actions whose messages went out are completed."""
+    frames = _canceled(t)
+    done = notices.complete_actions(frames, notices.section_canceled(frames, "self@x.edu"), TUESDAY, "P000000000")
+    return done.changes.select("ACTIONSCHEDULE_ID", "COMPLETED", F.col("EXECUTION_DATE").cast("string").alias("EXECUTION_DATE"), "COMPLETED_BY")
+
+
 def table_sql(titles: str, rows: str, empty: str) -> str:
     heads = "".join(f"<th>{h}</th>" for h in titles.split("|"))
     return f"""'<table class="merged"><thead><tr>{heads}</tr></thead><tbody>' || coalesce(({rows}), '{empty}') || '</tbody></table>'"""

@@ -49,6 +49,7 @@ KEY = (
     "y AS ACADEMIC_YEAR, term AS ACADEMIC_TERM, '01' AS ACADEMIC_SESSION, lpad(CAST(s AS STRING), 9, '0') AS EVENT_ID, 'LECT' AS EVENT_SUB_TYPE, "
     "CASE fi WHEN 0 THEN 'D01' WHEN 1 THEN 'H01' ELSE 'MIS1' END AS SECTION"
 )
+EVENT_CODE = "'SUP ' || right(lpad(CAST(s AS STRING), 9, '0'), 3) || ' LEC'"
 SID = "yq * 10000000000 + s * 10 + fi"
 START = f"CASE fi WHEN 2 THEN {at('10:30:00')} ELSE {at('09:00:00')} END"
 END = f"CASE fi WHEN 0 THEN {at('11:00:00')} WHEN 1 THEN {at('09:05:00')} ELSE {at('12:00:00')} END"
@@ -209,6 +210,9 @@ DERIVED: dict[str, str] = {
     "NEW_SiteMapOptionRole": "SELECT SiteMapOptionId + 1000000 AS SiteMapOptionId, 12 AS SiteMapRoleId, IsVisible FROM {SiteMapOptionRole} WHERE SiteMapRoleId = 2 AND IsVisible",
     "NEW_SiteMapOptionDetailRole": "SELECT SiteMapOptionDetailId + 500 AS SiteMapOptionDetailId, SiteMapRoleId, IsVisible FROM {SiteMapOptionDetailRole} WHERE SiteMapRoleId = 1",
     "NEW_InstitutionSetting": "SELECT AreaName, SectionName, LabelName, 'old' AS Setting, PersonId FROM {InstitutionSetting} WHERE Setting < '2'",
+    "NEW_AppRole": "SELECT AppRoleId + 50 AS AppRoleId, ApplicationId, Name FROM {AppRole} WHERE Name IN ('Student', 'BUILDING')",
+    "NEW_AppClaim": "SELECT AppClaimId + 700000 AS AppClaimId, ApplicationId, Name FROM {AppClaim}",
+    "NEW_AppRoleClaim": "SELECT 51 AS AppRoleId, o_custkey + 700000 AS AppClaimId FROM {orders} WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' GROUP BY o_custkey",
     "ABT_OBJECTS": "SELECT o_orderpriority AS OBJECT_NAME, CASE o_orderstatus WHEN 'O' THEN NULL WHEN 'P' THEN ' ' ELSE 'kept' END AS HELP_NAME FROM {orders}",
     "ABT_TABLESECURITY": """SELECT o_orderpriority AS SECURITY_ID, 'v' || CAST(o_custkey AS STRING) AS TABLE_NAME, CASE max(o_orderstatus) WHEN 'P' THEN 'Y' ELSE 'N' END AS EDIT_RIGHTS,
       CASE min(o_orderstatus) WHEN 'F' THEN 'Y' ELSE 'N' END AS DELETE_RIGHTS FROM {orders} GROUP BY o_orderpriority, o_custkey""",
@@ -222,6 +226,14 @@ DERIVED: dict[str, str] = {
     "PBCATCOL": "SELECT 'v' || CAST(o_custkey AS STRING) AS PBC_TNAM, o_orderpriority AS PBC_CNAM FROM {orders}",
     "PBCATTBL": "SELECT 'v' || CAST(c_custkey AS STRING) AS PBT_TNAM FROM {customer}",
     "ABT_TABLES": "SELECT 'v' || CAST(c_custkey AS STRING) AS TABLE_NAME FROM {customer}",
+    # Dropped lines as canceled sections: told by a drop record, by the name of the action, or not at all.
+    "CANCELED_ACTIONS": f"""SELECT k AS ACTIONSCHEDULE_ID, 'CANCSECT' AS ACTION_ID, {person('cust')} AS PEOPLE_ORG_CODE_ID, y AS ACADEMIC_YEAR, term AS ACADEMIC_TERM, '01' AS ACADEMIC_SESSION,
+      'k' || CAST(k AS STRING) AS UNIQUE_KEY, CASE fi WHEN 0 THEN 'Canceled/' || {EVENT_CODE} || '/D01' WHEN 1 THEN 'Section was canceled: 2020/FALL/01/' || {EVENT_CODE} || '/H01' ELSE 'Canceled' END AS ACTION_NAME,
+      CASE WHEN q > 40 THEN 'Y' ELSE 'N' END AS COMPLETED, 'N' AS CANCELED, 'N' AS WAIVED, CAST(NULL AS DATE) AS EXECUTION_DATE, CAST(NULL AS STRING) AS COMPLETED_BY FROM {{LINE}} WHERE disc >= 0.09""",
+    "CANCELED_ACTION": "SELECT 'CANCSECT' AS ACTION_ID, 'Section canceled' AS ACTION_NAME, 'Dear ' || repeat(chr(123), 2) || 'FIRST_NAME' || repeat(chr(125), 2) || ': ' || repeat(chr(123), 2) || 'SECTION' || repeat(chr(125), 2) || ' is off.' AS NOTE",
+    "CANCELED_DROPS": f"SELECT DISTINCT {person('cust')} AS PEOPLE_CODE_ID, y AS ACADEMIC_YEAR, term AS ACADEMIC_TERM, '01' AS ACADEMIC_SESSION, {EVENT_CODE} AS EVENT_ID, 'LECT' AS EVENT_SUB_TYPE, 'D01' AS SECTION, 'CANCEL' AS DROP_REASON FROM {{LINE}} WHERE disc >= 0.09 AND fi = 0 AND q > 10",
+    "CANCELED_SECTIONS": f"SELECT DISTINCT y AS ACADEMIC_YEAR, term AS ACADEMIC_TERM, '01' AS ACADEMIC_SESSION, {EVENT_CODE} AS EVENT_ID, 'LECT' AS EVENT_SUB_TYPE, 'D01' AS SECTION, 'Long & ' || {EVENT_CODE} AS EVENT_LONG_NAME FROM {{LINE}}",
+    "CANCELED_SUBTYPE": "SELECT 'LECT' AS CODE_VALUE, 'Lecture' AS LONG_DESC",
     "MESSAGEQUEUE": "SELECT o_orderkey AS MESSAGEID, 'Happy Birthday!' AS SUBJECT, DATE '1999-11-21' AS CREATE_DATE FROM {orders} WHERE o_orderpriority = '1-URGENT'",
     "MESSAGERECIPIENTS": f"SELECT o_orderkey AS MESSAGEID, 'to' AS RECIPIENTTYPE, {person('o_custkey')} AS PEOPLECODEID FROM {{orders}} WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'",
 }

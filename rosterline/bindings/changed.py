@@ -274,9 +274,10 @@ WHERE (y, q) > (1995, 1) AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey =
 def generate_absences(t: Tables):
     """Quarters of the year after an order in which the customer has none."""
     kept = t.dated_orders.select("o_custkey", F.year("d").alias("y"), F.quarter("d").alias("q")).distinct()
-    calendar = order_terms(t).select("y", "q")
+    calendar = order_terms(t).groupBy("y").agg(F.collect_set("q").alias("qs"))
     due = t.dated_orders.select(F.col("o_custkey").alias("c_custkey"), (F.year("d") + 1).alias("y")).distinct()
-    expected = due.join(calendar, "y").join(t.customer.select("c_custkey"), "c_custkey", "left_semi")
+    expected = joins.few_valued(due, calendar, ["y"], {"qs": "qs"}).select("c_custkey", "y", F.explode("qs").alias("q"))
+    expected = expected.join(t.customer.select("c_custkey"), "c_custkey", "left_semi")
     return joins.anti(expected, kept, {"c_custkey": "o_custkey", "y": "y", "q": "q"}).select(
         "c_custkey", F.col("y").cast("bigint").alias("y"), F.col("q").cast("bigint").alias("q")
     )

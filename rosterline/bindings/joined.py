@@ -152,7 +152,8 @@ def recent_terms(t: Tables):
     current = terms.agg(F.max("term_id").alias("m")).scalar()
     wanted = terms.filter(F.col("term_id").between(current - 2, current))
     dated = t.dated_orders.select("o_orderkey", F.year("d").alias("y"), F.quarter("d").alias("q"))
-    return dated.join(wanted, ["y", "q"]).select("o_orderkey", F.col("term_id").cast("bigint").alias("term_id"))
+    found = joins.few_valued(dated, wanted, ["y", "q"], {"term_id": "term_id"})
+    return found.select("o_orderkey", F.col("term_id").cast("bigint").alias("term_id"))
 
 
 @query(f"""

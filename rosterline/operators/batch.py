@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import stage
 from .aggregates import dedupe_keep_min
 from .changes import ChangeSet
 from .joins import _on, _pairs, adjacent_versions, anti, blank_safe_columns, first_match, semi
@@ -93,14 +94,15 @@ def repair_versions(
     open_now = (F.col(status) == active) & F.col(end).isNull()
     found = adjacent_versions(df, same, start, end, open_now & eligible, F.col(status) == inactive)
     names = [f"_k_{c}" for c in match]
-    found_keys = found.select(*blank_safe_columns(match), F.col(start).cast("date").alias("_start")).distinct()
+    # Read by steps 2 and 4; what step 3 leaves is read by step 4 and by the log.
+    found_keys = stage(found.select(*blank_safe_columns(match), F.col(start).cast("date").alias("_start")).distinct(), "found")
 
     keyed = df.withColumns(dict(zip(names, blank_safe_columns(match))))
     doomed_probe = keyed.filter(F.col(end).isNull()).withColumn("_start", F.col(start).cast("date"))
     doomed = semi(doomed_probe, found_keys, [*names, "_start"]).select(row_id)
     remaining = anti(df, doomed, [row_id])
 
-    purged = dedupe_keep_min(remaining, [*group, end], row_id, F.col(status) == inactive)
+    purged = stage(dedupe_keep_min(remaining, [*group, end], row_id, F.col(status) == inactive), "purged")
 
     probe = purged.withColumns(dict(zip(names, blank_safe_columns(match)))).withColumn(
         "_start", F.date_add(F.col(end).cast("date"), 1)

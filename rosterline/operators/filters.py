@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null, col, default_if_blank
-from .joins import semi
+from .joins import few_valued
 
 
 def given(value) -> bool:
@@ -39,8 +39,16 @@ def scope_or_key(scope: Column, key: str, value) -> Column:
 
 
 def gate(rows: DataFrame, allowed: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose caller is in the allowed list."""
-    return semi(rows, allowed, on)
+    """Rows whose caller is in the allowed list.
+
+    The different callers meet the list in one aggregate. Few callers (often one, who asks for everything) then come back as a
+    map, so that neither a hot caller nor a constant one makes a join; many callers join by key.
+    """
+    asked = rows.select(*on).distinct().withColumns({"_asked": F.lit(1), "_listed": F.lit(0)})
+    listed = allowed.select(*on).distinct().withColumns({"_asked": F.lit(0), "_listed": F.lit(1)})
+    flags = asked.unionByName(listed).groupBy(*on).agg(F.max("_asked").alias("_asked"), F.max("_listed").alias("_listed"))
+    known = flags.filter("_asked = 1 AND _listed = 1").select(*on, F.lit(True).alias("_known"))
+    return few_valued(rows, known, on, {"_known": "_known"}).drop("_known")
 
 
 def action_status(executed: Column, canceled: Column, waived: Column, scheduled: Column, as_of: Column) -> Column:

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import null_to_blank
 
+#: Rows of a side that is as small as a calendar or a code table; a look-up in its map goes through all of them.
+FEW_ROWS = 256
 # Join key of a class section, shared by all academic tables.
 SECTION_KEY = ["ACADEMIC_YEAR", "ACADEMIC_TERM", "ACADEMIC_SESSION", "EVENT_ID", "EVENT_SUB_TYPE", "SECTION"]
 
@@ -76,15 +78,56 @@ def not_in(left: DataFrame, column: str, values: DataFrame, value_column: str) -
     return anti(left, values, {column: value_column}).filter(empty | (clean & F.col(column).isNotNull()))
 
 
+def has_few(side: DataFrame, most: int = FEW_ROWS) -> bool:
+    """Whether a side has at most ``most`` rows; the job that looks stops there."""
+    return side.limit(most + 1).count() <= most
+
+
+def few_valued(
+    df: DataFrame, side: DataFrame, on: Sequence[str] | Mapping[str, str], take: Mapping[str, str], how: str = "inner", most: int = FEW_ROWS
+) -> DataFrame:
+    """Join with a side whose key is unique, without moving ``df`` where the side is as small as a calendar.
+
+    Such a side becomes one map that the plan reads as a scalar, so rows of ``df`` stay where they are however few
+    values their key has; a larger side is joined by key. ``take`` maps output names to columns of the side.
+    """
+    pairs = _pairs(on)
+    keys = F.struct(*[F.col(r).alias(f"k{i}") for i, r in enumerate(pairs.values())])
+    values = F.struct(*[F.col(c).alias(f"t{i}") for i, c in enumerate(take.values())])
+    known = side.filter(F.forall(F.array(*[F.col(r).isNull() for r in pairs.values()]), lambda x: ~x))
+    if has_few(known.select(*pairs.values()), most):
+        entries = known.select(F.struct(keys.alias("key"), values.alias("value")).alias("e"))
+        table = entries.agg(F.map_from_entries(F.collect_list("e")).alias("m")).scalar()
+        types = known.select(*pairs.values()).schema
+        asked = F.struct(*[df[l].cast(f.dataType).alias(f"k{i}") for i, (l, f) in enumerate(zip(pairs, types))])
+        given = F.forall(F.array(*[df[l].isNull() for l in pairs]), lambda x: ~x)
+        found = df.select(*[df[f"`{c}`"] for c in df.columns], F.when(given, F.try_element_at(table, asked)).alias("_found"))
+    else:
+        picked = known.select(*[F.col(r).alias(f"_r_{i}") for i, r in enumerate(pairs.values())], values.alias("_found"))
+        joined = df.join(picked, _on(df, picked, pairs, False), "left")
+        found = joined.select(*[df[f"`{c}`"] for c in df.columns], "_found")
+    if how == "inner":
+        found = found.filter(F.col("_found").isNotNull())
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"_found.t{i}").alias(o) for i, o in enumerate(take)])
+
+
 def not_in_per_group(
     left: DataFrame, column: str, values: DataFrame, value_column: str, on: Sequence[str] | Mapping[str, str]
 ) -> DataFrame:
     """``column NOT IN (values of the same group)`` with three-valued logic.
 
-    Two key joins: an anti join for the matches, then one summary row per group
-    for the rules about nulls. A row whose group has no values is kept.
+    Few values (a code table): the values of a row's group come from a map, and ``left`` is not moved. Many: two key joins, an
+    anti join for the matches, then one summary row per group for the rules about nulls. A row whose group has no
+    values is kept.
     """
     pairs = _pairs(on)
+    listed = values.select(*[F.col(r).alias(f"_g_{i}") for i, r in enumerate(pairs.values())], F.col(value_column).alias("_v")).distinct()
+    groups = {l: f"_g_{i}" for i, l in enumerate(pairs)}
+    if has_few(listed):
+        grouped = listed.groupBy(*groups.values()).agg(F.collect_set("_v").alias("_set"), F.bool_or(F.col("_v").isNull()).alias("_null"))
+        found = few_valued(left, grouped, groups, {"_set": "_set", "_null": "_null"}, "left")
+        outside = ~F.col("_null") & F.col(f"`{column}`").isNotNull() & ~F.array_contains("_set", F.col(f"`{column}`"))
+        return found.filter(F.col("_null").isNull() | F.coalesce(outside, F.lit(False))).drop("_set", "_null")
     survivors = anti(left, values, {**pairs, column: value_column})
     summary = values.groupBy(*[F.col(r).alias(f"_g_{i}") for i, r in enumerate(pairs.values())]).agg(
         F.bool_or(F.col(value_column).isNull()).alias("_has_null")
@@ -299,6 +342,16 @@ def remap_keys(
     return joined.select(*[F.col("_new").alias(c) if c == key else rows[c] for c in rows.columns])
 
 
+def repeated_natural_keys(old: DataFrame, new: DataFrame, natural: Sequence[str]) -> DataFrame:
+    """Natural keys (as text) that either side of a bridge holds more than once: such a key would give a row several new ids."""
+    out = None
+    for side, df in (("old", old), ("new", new)):
+        counted = df.select(*natural).dropna().groupBy(*natural).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        part = counted.select(F.lit(side).alias("side"), F.to_json(F.struct(*natural)).alias("natural_key"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def side_difference(df: DataFrame, side: str, items: Sequence[str]) -> DataFrame:
     """Per item: ``Only <side>`` or ``Both have``; one partial aggregate instead of a self join."""
     return df.groupBy(*items).agg(F.min(side).alias("_lo"), F.max(side).alias("_hi")).select(

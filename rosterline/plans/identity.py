@@ -7,6 +7,7 @@ arguments are registry aliases.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -144,11 +145,16 @@ def _insert_named(old: DataFrame, new: DataFrame, natural: list[str], id_column:
 
 
 def _link(t: TableRegistry, old: str, new: str, table: str, sides: Mapping[str, tuple[DataFrame, DataFrame, str]]) -> ChangeSet:
-    """Copy a link table with both ids remapped through their natural keys, skipping links that exist."""
-    rows = t.table(table, old)
+    """Copy a link table with both ids remapped through their natural keys, skipping links that exist.
+
+    Natural keys that occur twice go to the gate: a run with any is refused before it writes.
+    """
+    rows, witness = t.table(table, old), None
     for id_column, (old_dim, new_dim, natural) in sides.items():
         rows = joins.remap_keys(rows, id_column, old_dim, new_dim, id_column, [natural])
-    return changes.insert_missing(t.table(table, new), rows, list(sides))
+        repeated = joins.repeated_natural_keys(old_dim, new_dim, [natural])
+        witness = repeated if witness is None else witness.unionByName(repeated)
+    return replace(changes.insert_missing(t.table(table, new), rows, list(sides)), repeated=witness)
 
 
 def migrate_settings(

@@ -6,8 +6,8 @@ import pytest
 
 from rosterline.bindings.campus import PLAIN, PLANS
 
-# These read a given table besides the campus ones.
-NEEDS_GIVEN_TABLES = {"campus_insert_stops", "campus_stop_list_after"}
+# These read given or derived tables besides the campus ones.
+NEEDS_GIVEN_TABLES = {"campus_insert_stops", "campus_stop_list_after", "campus_section_canceled", "campus_section_canceled_done"}
 
 
 @pytest.fixture(scope="module")

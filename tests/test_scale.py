@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.operators import aggregates, joins, sets
+from rosterline.operators import aggregates, changes, joins, rendering, sets
 
 
 def rows(df):
@@ -120,3 +120,48 @@ def test_closure_of_cycles_equals_plain_search(spark):
     asked = spark.createDataFrame([(r,) for r in roots], "root string")
     assert set(rows(sets.flatten_membership(df, asked, leaves_only=False))) == want
     assert set(rows(sets.flatten_membership(df, asked))) == {(r, m) for r, m in want if m not in parents}
+
+
+def test_few_valued_sides_do_not_move_the_rows(spark):
+    df = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (3, None, 30), (4, "c", None)], "id int, k string, `x.y` int")
+    side = spark.createDataFrame([("a", 1, None), ("b", 2, "two"), (None, 3, "none")], "k string, n int, t string")
+    for most in (256, 1):  # the second one joins by key
+        inner = joins.few_valued(df, side, ["k"], {"n": "n", "t": "t"}, most=most)
+        left = joins.few_valued(df, side, {"k": "k"}, {"n": "n"}, "left", most=most)
+        assert inner.columns == ["id", "k", "x.y", "n", "t"] and rows(inner) == [(1, "a", 10, 1, None), (2, "b", 20, 2, "two")]
+        assert sorted((r.id, r.n) for r in left.collect()) == [(1, 1), (2, 2), (3, None), (4, None)]
+    text = joins.few_valued(df, side, ["k"], {"n": "n"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text
+    assert joins.few_valued(df, side.limit(0), ["k"], {"n": "n"}).count() == 0
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_not_in_per_group_either_way(spark, monkeypatch, few):
+    monkeypatch.setattr(joins, "has_few", lambda side, most=0: few)
+    left = spark.createDataFrame([("g", "x"), ("g", "y"), ("g", None), ("n", "x"), ("n", None), ("other", "x"), ("other", None), (None, "x")], "g string, v string")
+    values = spark.createDataFrame([("g", "x"), ("g", "x"), ("g", "z"), ("n", None), ("n", "q"), (None, "x")], "grp string, val string")
+    kept = joins.not_in_per_group(left, "v", values, "val", {"g": "grp"})
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([("g", "y"), ("other", "x"), ("other", None), (None, "x")], key=repr)
+
+
+def test_chunks_put_together_are_the_table(spark):
+    df = spark.range(2_345).selectExpr("if(id % 5 = 0, NULL, 'hot') AS k", "id", "concat('<', id, '>') AS t").repartition(7)
+    chunks = rendering.render_chunks(df, ["k"], ["id"], [F.col("t")], ["T & U"], "c", rows_per_chunk=100).collect()
+    assert max(r.html.count("<tr>") for r in chunks) == 100
+    for key in (None, "hot"):
+        own = sorted((r.chunk, r.html) for r in chunks if r.k == key)
+        assert [c for c, _ in own] == list(range(len(own)))
+        ids = [i for i in range(2_345) if (i % 5 == 0) == (key is None)]
+        body = "".join(f"<tr><td>&lt;{i}&gt;</td></tr>" for i in ids)
+        assert "".join(h for _, h in own) == f'<table class="c"><thead><tr><th>T &amp; U</th></tr></thead><tbody>{body}</tbody></table>'
+
+
+def test_repeated_natural_keys_are_refused_before_a_write(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None), (5, None)], "id int, name string")
+    new = spark.createDataFrame([(11, "a"), (12, "c"), (13, "c")], "id int, name string")
+    witness = joins.repeated_natural_keys(old, new, ["name"])
+    assert rows(witness) == [("new", '{"name":"c"}', 2), ("old", '{"name":"b"}', 2)]
+    change = changes.insert_missing(new, old, ["id"])
+    with pytest.raises(changes.RunAborted, match="repeated source key"):
+        changes.write_run({"t": changes.ChangeSet(change.new_state, change.changes, change.tagged, witness)}, str(tmp_path / "run"))
+    assert not (tmp_path / "run").exists()
