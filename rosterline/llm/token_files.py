@@ -16,7 +16,8 @@ batches, a file at a time under a name that is its own to the attempt and then r
 its files by equal ones. Only one row for each file travels to the driver. Files are reached through ``pyarrow.fs``,
 which covers local, HDFS and object stores.
 
-Nulls: a null text has only the end id; null keys come first, as keys of their own. A key that repeats is told apart by
+Nulls: a null text has only the end id; null keys come first, as keys of their own. Very long texts are encoded and stored
+whole. All rows of one key lie in one shard: a key that holds a large share of the rows is written by one task, as a stream. A key that repeats is told apart by
 its number of occurrence (equal keys in order of their texts). An empty table gives an empty data set. Other columns
 are not read.
 """
@@ -27,6 +28,7 @@ import json
 import re
 import uuid
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,17 @@ SLOT = np.dtype([("print", "<u8"), ("file", "<u4"), ("offset", "<u8"), ("n", "<u
 HEAD = np.dtype([("keys", "<u8"), ("buckets", "<u8"), ("seed", "<u8")])
 
 
+class Known(dict):
+    """Ids of words; a word that is not there gives None and is noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.missing: set[str] = set()
+
+    def __missing__(self, word: str) -> None:
+        self.missing.add(word)
+
+
 class WordIds:
     """Ids of the tokenizers library, word by word.
 
@@ -56,7 +69,7 @@ class WordIds:
     tokens that end a word.
     """
 
-    def __init__(self, tokenizer_path: str, width: int, memo: int = 400_000):
+    def __init__(self, tokenizer_path: str, width: int, memo: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_path)
@@ -64,13 +77,15 @@ class WordIds:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.width, self.kind = width, f"<u{width}"
-        self.words: dict[str, bytes] = {}
+        self.words = Known()
         self.memo = memo
 
     def _learn(self, new: list[str]) -> None:
-        small = {w: w.lower() for w in new if PLAIN.fullmatch(w)}
-        rest = [w for w in new if w not in small]
-        plain = [w for w in set(small.values()) if w not in self.words]
+        plain, rest = [], []
+        for w in new:
+            (plain if w.isalpha() and (w.isascii() or PLAIN.fullmatch(w)) else rest).append(w)
+        capitals = {w: w.lower() for w in plain if not w.islower()}
+        plain = list(({*plain} - capitals.keys() | {*capitals.values()}) - self.words.keys())
         for at in range(0, len(plain), 500):
             part = plain[at : at + 500]
             ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
@@ -79,21 +94,34 @@ class WordIds:
             if len(ends) != len(part) or ends[-1] != len(data):
                 rest += part
                 continue
-            for word, i, j in zip(part, [0, *ends], ends):
-                self.words[word] = data[i:j]
+            self.words.update(zip(part, map(data.__getitem__, map(slice, [0, *ends], ends))))
         for word, found in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
             self.words[word] = np.array(found.ids, self.kind).tobytes()
-        for word, key in small.items():
+        for word, key in capitals.items():
             self.words[word] = self.words[key]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text."""
-        split = [WORD.findall(t) for t in texts]
-        every = set().union(*split)
-        if len(self.words) + len(every) > self.memo:
-            self.words.clear()
-        self._learn([w for w in every if w not in self.words])
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        known = self.words
+        if len(known) > self.memo:
+            known.clear()
+        split = [WORD.findall(small(t)) for t in texts]
+        found = [itemgetter(*words)(known) if len(words) > 1 else [known[w] for w in words] for words in split]
+        if known.missing:
+            new, known.missing = list(known.missing), set()
+            self._learn(new)
+            found = [[known[w] if x is None else x for w, x in zip(words, own)] if None in own else own for words, own in zip(split, found)]
+        return list(map(b"".join, found))
+
+
+def small(text: str) -> str:
+    """The text in small letters where that cannot change its ids: signs up to U+00FF become what the tokenizer makes of them."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
 
 
 def id_width(tokenizer_path: str, end_id: int) -> int:
