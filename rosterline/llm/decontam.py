@@ -17,7 +17,7 @@ The benchmark is taken in blocks whose size is checked (``block_items`` rows and
 once; more blocks take more passes. Documents are never shuffled. A radius of 24 of 64 bits leaves out a window of similarity
 0.8 about once in a hundred thousand.
 
-Nulls and texts without words match nothing. Each row is judged alone: repeated rows and items give repeated results,
+Nulls and texts without words match nothing. Very long texts are searched whole, their windows in steps of bounded size. Each row is judged alone: repeated rows and items give repeated results,
 an empty table on either side an empty one. The best window is the one of the highest similarity, then the first.
 Other columns are not read (``clean`` returns them unchanged).
 """

@@ -8,7 +8,8 @@ text falls into independent chunks at blanks; chunks that repeat are looked up i
 
 The whole model file is read on each executor from ``model_path`` (part of the public tokenizers' package).
 
-Nulls and empty texts give no ids but the end id and decode to "". Repeated rows are encoded alike, row by row; an
+Nulls and empty texts give no ids but the end id and decode to "". Very long texts are encoded whole, chunk by chunk (a chunk
+without blanks as a whole), in memory in proportion to the text. No two segmentations tie: the model's merges decide. Repeated rows are encoded alike, row by row; an
 empty table gives an empty result; other columns of the input are not read.
 """
 

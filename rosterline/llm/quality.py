@@ -8,7 +8,7 @@ place, each by the squared gradients it has seen there. At most
 about ``train_rows`` labelled rows are used (by a hash of their ids; all below the bound), so a learner's rows are
 bounded too. A score is the logistic of one sparse dot product.
 
-The whole text is scored. Null and empty texts have no features and score by the intercept alone. Without labelled rows
+The whole text is scored, however long, in memory in proportion to it; a score of 0.5 counts as label 1. Null and empty texts have no features and score by the intercept alone. Without labelled rows
 every score is 0.5. Labels that are null are left out; a repeated label row counts twice. Rows are scored
 independently: repeated rows alike; an empty table gives an empty result; other columns are not read.
 """

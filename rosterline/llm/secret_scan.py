@@ -8,7 +8,8 @@ threshold: hex digits, and base64 with its URL form. Windows must lie in the cla
 digit, a capital and a small letter. A candidate that an allow-list pattern matches gives no entropy span; the fixed
 patterns are never suppressed. A span runs from the first to the last window above the threshold.
 
-Null texts count as empty and give no spans and the digest of the empty text. Rows are independent of each other:
+Null texts count as empty and give no spans and the digest of the empty text. Very long texts are scanned whole, in memory in
+proportion to the text. Spans that begin together are listed in the order of the kinds; spans may overlap. Rows are independent of each other:
 repeated rows give repeated results, an empty table an empty one. Other columns are not read.
 """
 

@@ -13,7 +13,8 @@ gathers 65 members at most, so this is exact and linear too, and the two ways to
 Equal fingerprints collapse to one before the index, so groups of copies of any size cost one entry. Links are joined
 to components by rounds of large-star and small-star steps, each round written to the shared folder.
 
-Null and empty texts (no words) have fingerprint zero and are linked like any other. Repeated rows share a component;
+Null and empty texts (no words) have fingerprint zero and are linked like any other. Very long texts are hashed whole, in
+stretches of shingles; a bit set in exactly half of the shingles is 0. Repeated rows share a component;
 null ids take part but never name a component unless all its ids are null; an empty table gives an empty result; other
 columns are not read.
 """
