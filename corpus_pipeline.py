@@ -1,8 +1,9 @@
 """A corpus from raw documents: known languages, one of each group of copies, no benchmark items, no secrets, then ids.
 
 Each stage takes all rows its predecessor kept. The first four return the columns of ``documents``; the last returns
-doc_id, n_tokens, ids_sha256 and decoded_sha256 of what is left. Nulls, empties and repeats: as the operators say (a
-null or empty text is rejected by the first stage).
+doc_id, n_tokens, ids_sha256 and decoded_sha256 of what is left. Nulls, empties, repeats, ties and very long texts: as the
+operators say (a null or empty text is rejected by the first stage; of equal texts the one with the smallest id stays). An
+empty table gives empty results; extra columns stay up to the last stage.
 """
 
 from __future__ import annotations
