@@ -17,6 +17,8 @@ from ..functions.text import null_to_blank
 
 #: Rows of a side that is as small as a calendar or a code table; a look-up in its map goes through all of them.
 FEW_ROWS = 256
+#: Values of all groups together that such a map may hold.
+FEW_VALUES = 4_096
 # Join key of a class section, shared by all academic tables.
 SECTION_KEY = ["ACADEMIC_YEAR", "ACADEMIC_TERM", "ACADEMIC_SESSION", "EVENT_ID", "EVENT_SUB_TYPE", "SECTION"]
 
@@ -78,9 +80,10 @@ def not_in(left: DataFrame, column: str, values: DataFrame, value_column: str) -
     return anti(left, values, {column: value_column}).filter(empty | (clean & F.col(column).isNotNull()))
 
 
-def has_few(side: DataFrame, most: int = FEW_ROWS) -> bool:
-    """Whether a side has at most ``most`` rows; the job that looks stops there."""
-    return side.limit(most + 1).count() <= most
+def few_rows(side: DataFrame, most: int = FEW_ROWS) -> DataFrame | None:
+    """The rows of a side that has at most ``most``, as constants of the plan; None for a larger one, of which no more are read."""
+    rows = side.limit(most + 1).collect()
+    return side.sparkSession.createDataFrame(rows, side.schema) if len(rows) <= most else None
 
 
 def few_valued(
@@ -88,15 +91,16 @@ def few_valued(
 ) -> DataFrame:
     """Join with a side whose key is unique, without moving ``df`` where the side is as small as a calendar.
 
-    Such a side becomes one map that the plan reads as a scalar, so rows of ``df`` stay where they are however few
-    values their key has; a larger side is joined by key. ``take`` maps output names to columns of the side.
+    Such a side is computed once and becomes one map that the plan reads as a scalar, so rows of ``df`` stay where they
+    are however few values their key has; a larger side is joined by key. ``take`` maps output names to columns of the side.
     """
     pairs = _pairs(on)
     keys = F.struct(*[F.col(r).alias(f"k{i}") for i, r in enumerate(pairs.values())])
     values = F.struct(*[F.col(c).alias(f"t{i}") for i, c in enumerate(take.values())])
     known = side.filter(F.forall(F.array(*[F.col(r).isNull() for r in pairs.values()]), lambda x: ~x))
-    if has_few(known.select(*pairs.values()), most):
-        entries = known.select(F.struct(keys.alias("key"), values.alias("value")).alias("e"))
+    small = few_rows(known.select(*dict.fromkeys([*pairs.values(), *take.values()])), most)
+    if small is not None:
+        entries = small.select(F.struct(keys.alias("key"), values.alias("value")).alias("e"))
         table = entries.agg(F.map_from_entries(F.collect_list("e")).alias("m")).scalar()
         types = known.select(*pairs.values()).schema
         asked = F.struct(*[df[l].cast(f.dataType).alias(f"k{i}") for i, (l, f) in enumerate(zip(pairs, types))])
@@ -123,8 +127,9 @@ def not_in_per_group(
     pairs = _pairs(on)
     listed = values.select(*[F.col(r).alias(f"_g_{i}") for i, r in enumerate(pairs.values())], F.col(value_column).alias("_v")).distinct()
     groups = {l: f"_g_{i}" for i, l in enumerate(pairs)}
-    if has_few(listed):
-        grouped = listed.groupBy(*groups.values()).agg(F.collect_set("_v").alias("_set"), F.bool_or(F.col("_v").isNull()).alias("_null"))
+    small = few_rows(listed, FEW_VALUES)
+    if small is not None:
+        grouped = small.groupBy(*groups.values()).agg(F.collect_set("_v").alias("_set"), F.bool_or(F.col("_v").isNull()).alias("_null"))
         found = few_valued(left, grouped, groups, {"_set": "_set", "_null": "_null"}, "left")
         outside = ~F.col("_null") & F.col(f"`{column}`").isNotNull() & ~F.array_contains("_set", F.col(f"`{column}`"))
         return found.filter(F.col("_null").isNull() | F.coalesce(outside, F.lit(False))).drop("_set", "_null")
