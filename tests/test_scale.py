@@ -7,6 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from rosterline.bindings import joined
+from rosterline.bindings.base import Tables
 from rosterline.operators import aggregates, changes, joins, rendering, sets
 
 
@@ -166,3 +168,12 @@ def test_repeated_natural_keys_are_refused_before_a_write(spark, tmp_path):
     with pytest.raises(changes.RunAborted, match="repeated source key"):
         changes.write_run({"t": changes.ChangeSet(change.new_state, change.changes, change.tagged, witness)}, str(tmp_path / "run"))
     assert not (tmp_path / "run").exists()
+
+
+def test_a_cut_name_meets_all_names_that_begin_with_it(spark, tmp_path):
+    """The note holds the beginning of a name, not the name: parts of other names are met as well."""
+    parts = [(1, "large ring", "Brand#7", 3), (2, "large bolt", "Brand#7", 3), (3, "large", "Brand#7", 3), (4, "larg", "Brand#7", 3), (5, "large ring", "Brand#7", 4), (6, None, "Brand#7", 3)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    found = joined.text_key_match(Tables(spark, str(tmp_path))).collect()
+    large = [(a, b) for a in (1, 2, 3) for b in (1, 2, 3)]
+    assert sorted((r[0], -1 if r[1] is None else r[1]) for r in found) == sorted([*large, (4, 1), (4, 2), (4, 3), (4, 4), (5, 5), (6, -1)])
