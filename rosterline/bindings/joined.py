@@ -205,7 +205,7 @@ def text_key_match(t: Tables):
         "p_partkey", "p_size", F.concat(F.lit("2020/"), F.col("p_brand"), F.lit("/"), F.substring("p_name", 1, 5)).alias("note")
     )
     return joins.text_match(
-        noted, "note", r"/(Brand#[0-9]+)/(.*)$", t.part, {"p_size": "p_size"}, "p_brand", "p_name", {"match_key": "p_partkey"}
+        noted, "note", r"/(Brand#[0-9]+)/(.*)$", t.part, {"p_size": "p_size"}, "p_brand", "p_name", {"match_key": "p_partkey"}, many=True
     ).select("p_partkey", "match_key")
 
 

@@ -8,6 +8,7 @@ only for sides whose measured size is under the session's limit.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,8 @@ from ..functions.text import null_to_blank
 FEW_ROWS = 256
 #: Values of all groups together that such a map may hold.
 FEW_VALUES = 4_096
+#: Pairs that a task of a join dealt by its pairs makes.
+TASK_PAIRS = 8_000_000
 # Join key of a class section, shared by all academic tables.
 SECTION_KEY = ["ACADEMIC_YEAR", "ACADEMIC_TERM", "ACADEMIC_SESSION", "EVENT_ID", "EVENT_SUB_TYPE", "SECTION"]
 
@@ -265,29 +268,61 @@ def lookup(df: DataFrame, dimension: DataFrame, on: Mapping[str, str], take: Map
     return joined.select(*[df[c] for c in df.columns], *[F.col(f"_t_{i}").alias(o) for i, o in enumerate(take)])
 
 
+def dealt_by_pairs(left: DataFrame, right: DataFrame, on: Sequence[str], most: int = TASK_PAIRS) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a join on equal names, dealt to tasks by the pairs that it makes, and the names to join on then.
+
+    Sizes in bytes say nothing about a result that is far longer than its sides. Rows are counted by key beforehand (one job), and
+    there are as many tasks as ``most`` pairs each need. A key with more pairs goes in pieces: each of its left rows to one
+    (by a digest of the row), its right rows to all.
+    """
+    keys = [F.col(c) for c in on]
+    counted = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+    sizes = counted.dropna().groupBy(*on).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    # A row that is moved takes about as long as some pairs that are made.
+    work = F.col("_l").cast("double") * F.col("_r") + 8 * (F.col("_l") + F.col("_r"))
+    total, largest = sizes.agg(F.sum(work), F.max(work)).first()
+    tasks = math.ceil((total or 0) / most) or 1
+    if (largest or 0) > most:
+        pieces = F.ceil(work / most).cast("int")
+        hot = sizes.filter((work > most) & (F.col("_l") > 0)).select(*[F.col(c).alias(f"_h_{c}") for c in on], pieces.alias("_pieces"))
+        same = [F.col(c) == F.col(f"_h_{c}") for c in on]
+        left, right = (side.join(hot, same, "left").drop(*[f"_h_{c}" for c in on]) for side in (left, right))
+        count = F.coalesce("_pieces", F.lit(1))
+        left = left.withColumn("_piece", F.pmod(F.xxhash64(*left.columns), count).cast("int")).drop("_pieces")
+        right = right.withColumn("_piece", F.explode(F.sequence(F.lit(0), count - 1))).drop("_pieces")
+        on = [*on, "_piece"]
+    return left.repartition(tasks, *on), right.repartition(tasks, *on), list(on)
+
+
 def text_match(
     df: DataFrame, text: str, pattern: str, candidates: DataFrame, on: Mapping[str, str], code: str, tail: str,
-    take: Mapping[str, str],
+    take: Mapping[str, str], many: bool = False,
 ) -> DataFrame:
     """Match rows to candidates through a code and a (possibly cut) name inside free text.
 
     ``pattern`` has two groups: the code (equal to ``candidates.code``) and the
     beginning of ``candidates.tail``. ``on`` adds plain equalities. Unmatched rows stay.
+    A candidate goes out with the beginnings of its name that are as long as names in the texts are (one scalar read by the plan), so the
+    join is one of equal keys and compares no names. ``many`` deals it by the pairs it makes, where a row meets many candidates.
     """
     left = df.withColumns(
         {"_code": F.regexp_extract(F.col(text), pattern, 1), "_tail": F.regexp_extract(F.col(text), pattern, 2)}
     )
-    picked = candidates.select(
+    lengths = left.agg(F.collect_set(F.length("_tail")).alias("n")).scalar()
+    begun = candidates.select(
+        F.col(code).alias("_code"),
         *[F.col(r).alias(f"_r_{i}") for i, r in enumerate(on.values())],
-        F.col(code).alias("_c_code"),
-        F.col(tail).alias("_c_tail"),
+        F.col(tail).alias("_name"),
         *[F.col(c).alias(f"_t_{i}") for i, c in enumerate(take.values())],
-    )
-    test = (left["_code"] == picked["_c_code"]) & F.startswith(picked["_c_tail"], left["_tail"])
-    for i, l in enumerate(on):
-        test = test & (left[l] == picked[f"_r_{i}"])
-    joined = left.join(picked, test, "left")
-    return joined.select(*[left[c] for c in df.columns], *[F.col(f"_t_{i}").alias(o) for i, o in enumerate(take)])
+        F.explode(lengths).alias("_size"),
+    ).filter(F.col("_size") <= F.length("_name"))
+    picked = begun.withColumn("_tail", F.substring("_name", F.lit(1), F.col("_size"))).drop("_name")
+    left = left.withColumns({f"_r_{i}": F.col(l) for i, l in enumerate(on)} | {"_size": F.length("_tail")})
+    keys = ["_code", *[f"_r_{i}" for i in range(len(on))], "_size", "_tail"]
+    if many:
+        left, picked, keys = dealt_by_pairs(left, picked, keys)
+    joined = left.join(picked, keys, "left")
+    return joined.select(*[left[f"`{c}`"] for c in df.columns], *[F.col(f"_t_{i}").alias(o) for i, o in enumerate(take)])
 
 
 def prefix_lookup(

@@ -177,3 +177,29 @@ def test_a_cut_name_meets_all_names_that_begin_with_it(spark, tmp_path):
     found = joined.text_key_match(Tables(spark, str(tmp_path))).collect()
     large = [(a, b) for a in (1, 2, 3) for b in (1, 2, 3)]
     assert sorted((r[0], -1 if r[1] is None else r[1]) for r in found) == sorted([*large, (4, 1), (4, 2), (4, 3), (4, 4), (5, 5), (6, -1)])
+
+
+def test_names_meet_by_equal_keys_however_many_share_a_code(spark):
+    names = ["", "a", "ab", "AB", "abc", "a%", "äb", None]
+    left = spark.createDataFrame([(i, f"x/K/{n}") for i, n in enumerate([*names[:-1], "b", "ä", "abcd"])] + [(90, "no"), (91, None)], "id int, note string")
+    right = spark.createDataFrame([(i, "K", n) for i, n in enumerate(names)], "cid int, code string, name string")
+    tails = left.withColumn("t", F.regexp_extract("note", r"/(K)/(.*)$", 2)).withColumn("c", F.regexp_extract("note", r"/(K)/(.*)$", 1))
+    wanted = rows(tails.join(right, (F.col("c") == F.col("code")) & F.startswith("name", "t"), "left").select("id", F.coalesce("cid", F.lit(-1))))
+    for many in (False, True):
+        got = joins.text_match(left, "note", r"/(K)/(.*)$", right, {}, "code", "name", {"m": "cid"}, many)
+        assert rows(got.select("id", F.coalesce("m", F.lit(-1)))) == wanted
+        assert "startswith" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_a_join_is_dealt_by_the_pairs_it_makes(spark):
+    left = spark.range(1_000).select(F.when(F.col("id") < 900, "hot").when(F.col("id") < 950, F.col("id").cast("string")).alias("k"), "id")
+    right = spark.range(400).select(F.when(F.col("id") < 300, "hot").otherwise((F.col("id") + 600).cast("string")).alias("k"), F.col("id").alias("r"))
+    plain = rows(left.join(right, "k", "left").select("id", F.coalesce("r", F.lit(-1))))
+    a, b, on = joins.dealt_by_pairs(left, right, ["k"], 20_000)
+    dealt = a.join(b, on, "left")
+    assert rows(dealt.select("id", F.coalesce("r", F.lit(-1)))) == plain
+    assert a.rdd.getNumPartitions() == b.rdd.getNumPartitions() >= 900 * 300 // 20_000
+    made = a.join(b, on).groupBy(*on).count().agg(F.max("count")).first()[0]
+    assert made < 3 * 20_000 < 900 * 300
+    empty = joins.dealt_by_pairs(left.limit(0), right, ["k"])
+    assert empty[0].join(empty[1], empty[2], "left").count() == 0
