@@ -45,8 +45,11 @@ def dedupe_keep_min(df: DataFrame, by: Sequence[str], key: str, removable: Colum
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """One row: rows on the left, and how many have an identical row of the same key on the right."""
-    digest = row_digest(columns)
+    """One row: rows on the left, and how many have an identical row of the same key on the right.
+
+    Digests travel as bytes, half as long as their hexadecimal text.
+    """
+    digest = F.unhex(row_digest(columns))
     a = left.select(F.col(key).alias("_ka"), digest.alias("_da"))
     b = right.select(F.col(key).alias("_kb"), digest.alias("_db"))
     return a.join(b, F.col("_ka") == F.col("_kb"), "left").agg(

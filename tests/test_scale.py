@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterline.bindings import joined
 from rosterline.bindings.base import Tables
+from rosterline.bindings.campus_tables import CampusFrames
 from rosterline.operators import aggregates, changes, joins, rendering, sets
 
 
@@ -203,3 +204,19 @@ def test_a_join_is_dealt_by_the_pairs_it_makes(spark):
     assert made < 3 * 20_000 < 900 * 300
     empty = joins.dealt_by_pairs(left.limit(0), right, ["k"])
     assert empty[0].join(empty[1], empty[2], "left").count() == 0
+
+
+def test_lines_are_moved_once_and_digests_as_bytes(spark, sf_dir):
+    """Lines are grouped and joined with their orders in one exchange, and rows to compare go as 32 bytes."""
+    frames = CampusFrames(spark, sf_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = frames.derive("LINE")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # lines and orders
+    a = spark.createDataFrame([(1, "x", 2.0), (2, None, 1.0), (3, "y", 0.5)], "k int, s string, d double")
+    b = spark.createDataFrame([(1, "x", 2.0), (2, None, 1.0), (3, "z", 0.5), (4, "x", 2.0)], "k int, s string, d double")
+    out = aggregates.reconcile(a, b, "k", ["k", "s", "d"])
+    assert [tuple(r) for r in out.collect()] == [(3, 2)]
+    assert "unhex(sha2(" in out._jdf.queryExecution().optimizedPlan().toString()
