@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import NAME_TOKENS, blank_to_null, display_name
 from ..operators import joins, keys, ranking
-from ..operators.joins import SECTION_KEY
+from ..operators.joins import SECTION_JOIN, SECTION_KEY
 from ..sources.registry import TableRegistry
 
 _KEY = ", ".join(f"{c} string" for c in SECTION_KEY)
@@ -241,8 +241,7 @@ def email_top(t: TableRegistry) -> DataFrame:
 def section_meetings(t: TableRegistry) -> DataFrame:
     """One row per registered student and meeting of an active section.
 
-    The joins run on the section key and the event key; callers' filters on year,
-    term or date reach the scans.
+    The joins run on the section key and the event key.
     """
     registered = t["TRANSCRIPTDETAIL"].filter(F.col("ADD_DROP_WAIT") == "A").select(
         "PEOPLE_CODE_ID", "PEOPLE_ID", *SECTION_KEY, "TRANSCRIPT_SEQ", "EVENT_MED_NAME", "EVENT_LONG_NAME"
@@ -250,8 +249,8 @@ def section_meetings(t: TableRegistry) -> DataFrame:
     sections = t["SECTIONS"].filter(F.col("EVENT_STATUS") == "A").select(*SECTION_KEY, "SectionId", "COLLEGE", "DEPARTMENT")
     return (
         registered.join(ordered_terms(t), ["ACADEMIC_YEAR", "ACADEMIC_TERM"])
-        .join(sections, SECTION_KEY)
-        .join(scheduled_meetings(t), SECTION_KEY)
+        .join(sections, SECTION_JOIN)
+        .join(scheduled_meetings(t), SECTION_JOIN)
         .select(
             "PEOPLE_CODE_ID", "PEOPLE_ID", "TermId", *SECTION_KEY, "TRANSCRIPT_SEQ", "EVENT_MED_NAME", "EVENT_LONG_NAME",
             "COLLEGE", "DEPARTMENT", "REGULAR_DAY", "CALENDAR_DATE", "START_TIME", "END_TIME", "DAY_OF_WEEK",

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from rosterline.bindings import joined
 from rosterline.bindings.base import Tables
-from rosterline.bindings.campus_tables import CampusFrames
+from rosterline.bindings.campus_tables import CampusFrames, campus
+from rosterline.models import campus as m
 from rosterline.operators import aggregates, changes, joins, rendering, sets
 
 
@@ -220,3 +221,13 @@ def test_lines_are_moved_once_and_digests_as_bytes(spark, sf_dir):
     out = aggregates.reconcile(a, b, "k", ["k", "s", "d"])
     assert [tuple(r) for r in out.collect()] == [(3, 2)]
     assert "unhex(sha2(" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_section_joins_sort_by_what_tells_sections_apart(spark, sf_dir):
+    t = campus(spark, sf_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = m.section_meetings(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"Sort \[EVENT_ID#\d+ ASC", plan)) >= 3 and not re.search(r"Sort \[ACADEMIC_YEAR#\d+ ASC[^,]*, ACADEMIC_TERM#\d+ ASC[^,]*, ACADEMIC_SESSION", plan)
