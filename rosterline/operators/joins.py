@@ -91,6 +91,20 @@ def few_rows(side: DataFrame, most: int = FEW_ROWS) -> DataFrame | None:
     return side.sparkSession.createDataFrame(rows, side.schema) if len(rows) <= most else None
 
 
+def among_few(df: DataFrame, side: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose key occurs on a side of few different keys, as a filter that reaches the scan; by a semi join where there are more."""
+    found = side.select(*on).distinct().limit(FEW_ROWS + 1).collect()
+    if len(found) > FEW_ROWS:
+        return semi(df, side, on)
+    test = F.lit(False)
+    for row in found:
+        same = F.lit(True)
+        for c, value in zip(on, row):
+            same = same & (F.col(c) == F.lit(value))
+        test = test | same
+    return df.filter(test)
+
+
 def few_valued(
     df: DataFrame, side: DataFrame, on: Sequence[str] | Mapping[str, str], take: Mapping[str, str], how: str = "inner", most: int = FEW_ROWS
 ) -> DataFrame:

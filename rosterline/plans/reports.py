@@ -12,14 +12,14 @@ from ..functions import dates
 from ..functions.text import decode, text_between
 from ..models import campus as m
 from ..operators import aggregates, filters, joins
-from ..operators.joins import SECTION_KEY
+from ..operators.joins import SECTION_JOIN, SECTION_KEY
 from ..sources.registry import TableRegistry, find_value as search_tables
 from ..staging import stage
 
 
 def _meetings_of(who: DataFrame, person: str, meetings: DataFrame) -> DataFrame:
     """Meetings of each person's sections as intervals, with what the conflict reports show."""
-    rows = who.join(meetings, SECTION_KEY)
+    rows = who.join(meetings, SECTION_JOIN)
     start, end = dates.on_date("CALENDAR_DATE", "START_TIME"), dates.on_date("CALENDAR_DATE", "END_TIME")
     return rows.select(
         F.col(person).alias("PEOPLE_CODE_ID"), "ACADEMIC_YEAR", "ACADEMIC_TERM", "EVENT_ID", "EVENT_SUB_TYPE", "SECTION",
@@ -32,7 +32,8 @@ def _conflicts(t: TableRegistry, who: DataFrame, person: str, year: str | None,
     """Overlapping meetings of one person; only the first side is limited to the term.
 
     Meetings begin and end on their day, so only the days of the term matter: the calendar is staged once, its range of
-    days prunes it, and the persons' meetings on those days are staged for both sides of the join.
+    days prunes it, persons' sections of terms without a meeting on those days are left out before they are moved, and the persons'
+    meetings on those days are staged for both sides of the join.
     """
     in_term = filters.optional_equals({"ACADEMIC_YEAR": year, "ACADEMIC_TERM": term})
     limited = filters.given(year) or filters.given(term)
@@ -41,6 +42,7 @@ def _conflicts(t: TableRegistry, who: DataFrame, person: str, year: str | None,
         meetings = stage(meetings, "meetings")
         days = meetings.filter(in_term).agg(F.min("CALENDAR_DATE").alias("lo"), F.max("CALENDAR_DATE").alias("hi"))
         meetings = meetings.filter(F.col("CALENDAR_DATE").between(days.select("lo").scalar(), days.select("hi").scalar()))
+        who = joins.among_few(who, meetings, ["ACADEMIC_YEAR", "ACADEMIC_TERM"])
     rows = stage(_meetings_of(who, person, meetings).withColumn("_listed", in_term if limited else F.lit(True)), "persons-meetings")
     pairs = joins.overlap_pairs(
         rows, "PEOPLE_CODE_ID", "Start", "End", "CALENDAR_KEY",

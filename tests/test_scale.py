@@ -12,6 +12,7 @@ from rosterline.bindings.base import Tables
 from rosterline.bindings.campus_tables import CampusFrames, campus
 from rosterline.models import campus as m
 from rosterline.operators import aggregates, changes, joins, rendering, sets
+from rosterline.plans import reports
 
 
 def rows(df):
@@ -231,3 +232,23 @@ def test_section_joins_sort_by_what_tells_sections_apart(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(re.findall(r"Sort \[EVENT_ID#\d+ ASC", plan)) >= 3 and not re.search(r"Sort \[ACADEMIC_YEAR#\d+ ASC[^,]*, ACADEMIC_TERM#\d+ ASC[^,]*, ACADEMIC_SESSION", plan)
+
+
+def test_persons_of_other_terms_are_left_out_by_a_filter(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, "b", "x"), (4, None, "x"), (5, "c", None)], "id int, p string, q string")
+    side = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "x"), (None, "x"), ("c", None)], "p string, q string")
+    wanted = [(1, "a", "x"), (3, "b", "x")]
+    few = joins.among_few(df, side, ["p", "q"])
+    assert rows(few) == wanted and "Join" not in few._jdf.queryExecution().optimizedPlan().toString()
+    assert joins.among_few(df, side.limit(0), ["p", "q"]).count() == 0
+    monkeypatch.setattr(joins, "FEW_ROWS", 1)
+    many = joins.among_few(df, side, ["p", "q"])
+    assert rows(many) == wanted and "Join" in many._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_conflicts_of_a_year_move_that_years_registrations_only(spark, sf_dir, monkeypatch):
+    moved = []
+    kept = reports._meetings_of
+    monkeypatch.setattr(reports, "_meetings_of", lambda who, person, meetings: moved.append(who) or kept(who, person, meetings))
+    reports.student_conflicts(campus(spark, sf_dir), "1999")
+    assert {r[0] for r in moved[0].select("ACADEMIC_YEAR").distinct().collect()} == {"1999"}
