@@ -238,19 +238,21 @@ def email_top(t: TableRegistry) -> DataFrame:
     return primary_emails(t).join(alternate_emails(t), "PEOPLE_ORG_CODE_ID", "left")
 
 
-def section_meetings(t: TableRegistry) -> DataFrame:
-    """One row per registered student and meeting of an active section.
+def section_meetings(t: TableRegistry, of_current_term: bool = False) -> DataFrame:
+    """One row per registered student and meeting of an active section, of all terms or the current one.
 
-    The joins run on the section key and the event key.
+    The joins run on the section key and the event key. A filter on TermId reaches the registrations alone; ``of_current_term`` limits
+    registrations, sections and schedule before they meet.
     """
-    registered = t["TRANSCRIPTDETAIL"].filter(F.col("ADD_DROP_WAIT") == "A").select(
+    wanted = current_term(t) if of_current_term else F.lit(True)
+    registered = t["TRANSCRIPTDETAIL"].filter((F.col("ADD_DROP_WAIT") == "A") & wanted).select(
         "PEOPLE_CODE_ID", "PEOPLE_ID", *SECTION_KEY, "TRANSCRIPT_SEQ", "EVENT_MED_NAME", "EVENT_LONG_NAME"
     )
-    sections = t["SECTIONS"].filter(F.col("EVENT_STATUS") == "A").select(*SECTION_KEY, "SectionId", "COLLEGE", "DEPARTMENT")
+    sections = t["SECTIONS"].filter((F.col("EVENT_STATUS") == "A") & wanted).select(*SECTION_KEY, "SectionId", "COLLEGE", "DEPARTMENT")
     return (
         registered.join(ordered_terms(t), ["ACADEMIC_YEAR", "ACADEMIC_TERM"])
         .join(sections, SECTION_JOIN)
-        .join(scheduled_meetings(t), SECTION_JOIN)
+        .join(scheduled_meetings(t, of_current_term), SECTION_JOIN)
         .select(
             "PEOPLE_CODE_ID", "PEOPLE_ID", "TermId", *SECTION_KEY, "TRANSCRIPT_SEQ", "EVENT_MED_NAME", "EVENT_LONG_NAME",
             "COLLEGE", "DEPARTMENT", "REGULAR_DAY", "CALENDAR_DATE", "START_TIME", "END_TIME", "DAY_OF_WEEK",
@@ -259,9 +261,9 @@ def section_meetings(t: TableRegistry) -> DataFrame:
     )
 
 
-def scheduled_meetings(t: TableRegistry) -> DataFrame:
+def scheduled_meetings(t: TableRegistry, of_current_term: bool = False) -> DataFrame:
     """Meetings of each section with its regular day."""
-    schedule = t["SECTIONSCHEDULE"].select(
+    schedule = t["SECTIONSCHEDULE"].filter(current_term(t) if of_current_term else F.lit(True)).select(
         *SECTION_KEY, F.col("DAY").alias("REGULAR_DAY"), "SECTIONSCHEDULE_ID", F.col("CALENDARDET_EVENT_KEY").alias("EVENT_KEY")
     )
     return schedule.join(t["CALENDARDETAIL"].select("EVENT_KEY"), "EVENT_KEY").join(t["CALENDAR"], "EVENT_KEY")

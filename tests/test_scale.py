@@ -252,3 +252,12 @@ def test_conflicts_of_a_year_move_that_years_registrations_only(spark, sf_dir, m
     monkeypatch.setattr(reports, "_meetings_of", lambda who, person, meetings: moved.append(who) or kept(who, person, meetings))
     reports.student_conflicts(campus(spark, sf_dir), "1999")
     assert {r[0] for r in moved[0].select("ACADEMIC_YEAR").distinct().collect()} == {"1999"}
+
+
+def test_meetings_of_the_current_term_are_limited_on_every_side(spark, sf_dir):
+    t = campus(spark, sf_dir)
+    chosen, everything = m.section_meetings(t, of_current_term=True), m.section_meetings(t)
+    shown = ["PEOPLE_CODE_ID", "SectionId", "CALENDAR_KEY"]
+    wanted = rows(everything.filter(F.col("TermId") == m.current_term_id(t)).select(*shown))
+    assert rows(chosen.select(*shown)) == wanted != []
+    assert rows(m.scheduled_meetings(t, of_current_term=True).select("ACADEMIC_YEAR", "ACADEMIC_TERM").distinct()) == [("1999", "FALL")]
