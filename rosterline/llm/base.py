@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +13,11 @@ from pyspark.sql import functions as F
 
 from rosterline.staging import new_folder, stage
 
+#: Bytes of a batch that Spark hands to a Python worker; its own 10,000 rows of long texts are many times that, in the JVM and in Python.
+BATCH_BYTES = "4m"
+#: What the stage that a Python worker runs keeps there between its tasks, under one key.
+_kept: dict[Hashable, object] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,12 +45,53 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def map_batches(df: DataFrame, body: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``body`` on small batches of ``df``; its state lives as long as the task."""
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch in the caller's session; it holds when the plan runs."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def worker_state(key: Hashable, make: Callable[[], object]):
+    """``make()``, built once in each Python worker and kept there until a task asks for something else."""
+    if key not in _kept:
+        _drop()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def _drop() -> None:
+    if _kept:
+        _kept.clear()
+        gc.collect()
+
+
+def _give_back() -> None:
+    """Free memory goes back to the system; else a worker that is used again keeps the most it ever took."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+@contextlib.contextmanager
+def task(keeps: Hashable = None) -> Iterator[None]:
+    """Around a task's work in a Python worker: what other stages kept there goes, all but ``keeps``."""
+    if keeps not in _kept:
+        _drop()
+        _give_back()
+    try:
+        yield
+    finally:
+        _give_back()
+
+
+def map_batches(df: DataFrame, body: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, keeps: Hashable = None) -> DataFrame:
+    """``body`` on small batches of ``df``; its state lives as long as the task, that under ``keeps`` as long as the stage's tasks come."""
+    small_batches(df.sparkSession)
 
     def run(batches):
-        for batch in pieces(batches):
-            yield body(batch)
+        with task(keeps):
+            for batch in pieces(batches):
+                yield body(batch)
 
     return df.mapInArrow(run, schema)
 

@@ -181,18 +181,18 @@ class Items:
 class Shared:
     """Blocks of one pass that travel as their rows; each block's tables are built once in each Python worker."""
 
-    ready: dict[str, Items] = {}
     built = 0  # tables built in this worker
 
     def __init__(self, spark, listed: list[list[tuple[int, str]]], least: float):
-        self.least, self.names = least, [uuid.uuid4().hex for _ in listed]
+        self.least, self.name = least, uuid.uuid4().hex
         self.rows = [spark.sparkContext.broadcast(rows) for rows in listed]
 
     def items(self) -> list[Items]:
-        if not all(n in Shared.ready for n in self.names):
-            Shared.ready = {n: Items(rows.value, self.least) for n, rows in zip(self.names, self.rows)}
-            Shared.built += len(self.names)
-        return [Shared.ready[n] for n in self.names]
+        return base.worker_state(self.name, self._build)
+
+    def _build(self) -> list[Items]:
+        Shared.built += len(self.rows)
+        return [Items(rows.value, self.least) for rows in self.rows]
 
 
 def passes(spark, benchmark: DataFrame, item_col: str, text_col: str, least: float, **bounds) -> Iterator[Shared]:
@@ -229,12 +229,13 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
 
-        parts.append(base.map_batches(base.keyed_text(docs, id_col, text_col), body, schema))
+        parts.append(base.map_batches(base.keyed_text(docs, id_col, text_col), body, schema, shared.name))
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.8, **bounds) -> DataFrame:
     """The rows of ``docs`` that hold no item; all columns stay. What a pass leaves is staged for the next one."""
+    base.small_batches(docs.sparkSession)
     for k, shared in enumerate(passes(docs.sparkSession, benchmark, item_col, item_text_col, least, **bounds)):
         docs = (base.staged(docs, "clean") if k else docs).filter(_free(shared)(F.col(f"`{text_col}`")))
     return docs
@@ -242,8 +243,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
 
 def _free(shared: Shared):
     @F.pandas_udf("boolean")
-    def free(text: pd.Series) -> pd.Series:
-        held = shared.items()
-        return pd.Series([not any(items.find(t or "") for items in held) for t in text], dtype=bool)
+    def free(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with base.task(shared.name):
+            for text in texts:
+                held = shared.items()
+                yield pd.Series([not any(items.find(t or "") for items in held) for t in text], dtype=bool)
 
     return free

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -203,6 +204,7 @@ def train(labelled: DataFrame, model_path: str, text_col: str = "text", lang_col
     """Fit on the rows of ``labelled`` that have a language; about ``train_rows`` of them at most."""
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang IS NOT NULL")
     spark = labelled.sparkSession
+    base.small_batches(spark)
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     n, languages = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     if n > train_rows:
@@ -220,13 +222,14 @@ def train(labelled: DataFrame, model_path: str, text_col: str = "text", lang_col
             held.clear()
             return result
 
-        for batch in base.pieces(batches):
-            for lang, text in zip(batch.column("lang").to_pylist(), base.texts(batch)):
-                for word, k in Counter(CUT.findall(text.lower())).items():
-                    held[lang, word] += k
-            if len(held) > 200_000:
-                yield out()
-        yield out()
+        with base.task():
+            for batch in base.pieces(batches):
+                for lang, text in zip(batch.column("lang").to_pylist(), base.texts(batch)):
+                    for word, k in Counter(CUT.findall(text.lower())).items():
+                        held[lang, word] += k
+                if len(held) > 200_000:
+                    yield out()
+            yield out()
 
     counted = base.staged(rows.mapInArrow(words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     languages = sorted(r[0] for r in counted.select("lang").distinct().collect())
@@ -275,16 +278,19 @@ def fold(id_col: str, folds: int) -> Column:
 
 def with_language(docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.0) -> DataFrame:
     """The rows of ``docs`` that have a known language with at least ``least_score``; all columns stay."""
+    base.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def accepted(text: pd.Series) -> pd.Series:
-        out: list[bool] = []
-        values = [t or "" for t in text]
-        for at in range(0, len(values), 512):
-            langs, scores = shared.value.predict(values[at : at + 512])
-            out += [x != UNKNOWN and s >= least_score for x, s in zip(langs, scores)]
-        return pd.Series(out, dtype=bool)
+    def accepted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with base.task():
+            for text in texts:
+                out: list[bool] = []
+                values = [t or "" for t in text]
+                for at in range(0, len(values), 512):
+                    langs, scores = shared.value.predict(values[at : at + 512])
+                    out += [x != UNKNOWN and s >= least_score for x, s in zip(langs, scores)]
+                yield pd.Series(out, dtype=bool)
 
     return docs.filter(accepted(F.col(text_col)))
 

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import heapq
 import re
-from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -224,10 +223,9 @@ def _text(run: bytes) -> str:
         return "".join(out)
 
 
-@lru_cache(maxsize=2)
 def codec(model_path: str) -> PieceCodec:
-    """One codec for each Python worker and model."""
-    return PieceCodec(model_path)
+    """One codec for each Python worker, as long as its tasks ask for this model."""
+    return base.worker_state(("codec", model_path), lambda: PieceCodec(model_path))
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,7 +236,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         ids = pa.array([own.encode(x) for x in base.texts(batch)], pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
-    return base.map_batches(base.keyed_text(docs, id_col, text_col), body, "doc_id long, ids array<int>")
+    return base.map_batches(base.keyed_text(docs, id_col, text_col), body, "doc_id long, ids array<int>", ("codec", model_path))
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -250,7 +248,7 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), out], ["doc_id", "text"])
 
     narrow = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return base.map_batches(narrow, body, "doc_id long, text string")
+    return base.map_batches(narrow, body, "doc_id long, text string", ("codec", model_path))
 
 
 def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,7 +260,7 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         columns = [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array([own.decode(x) for x in ids], pa.string())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
 
-    return base.map_batches(base.keyed_text(docs, id_col, text_col), body, "doc_id long, ids array<int>, decoded string")
+    return base.map_batches(base.keyed_text(docs, id_col, text_col), body, "doc_id long, ids array<int>, decoded string", ("codec", model_path))
 
 
 def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -22,6 +22,7 @@ columns are not read.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -159,9 +160,13 @@ def kept(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: st
     if not found.groupBy("doc_id").agg(F.count("*").alias("copies")).filter("copies > 1").limit(1).count():
         return docs.join(first, docs[id_col].cast("long").eqNullSafe(first["doc_id"]), "left_semi")
 
+    base.small_batches(docs.sparkSession)
+
     @F.pandas_udf("long")
-    def print_of(text: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint((t or "").encode(), width) for t in text], np.uint64).view(np.int64))
+    def print_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with base.task():
+            for text in texts:
+                yield pd.Series(np.array([fingerprint((t or "").encode(), width) for t in text], np.uint64).view(np.int64))
 
     # Repeated ids: the fingerprint goes along, in a column of a name that ``docs`` cannot hold.
     own = f"_fp_{uuid.uuid4().hex}"
